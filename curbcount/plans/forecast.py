@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -19,46 +18,44 @@ from curbcount.operators.series import future_grid, observations, series_range,
 HISTORY, FUTURE = "history", "future"
 
 
-def _days(times: pd.Series) -> np.ndarray:
-    return times.to_numpy("datetime64[us]").astype("int64") / 86_400e6
+DAY_MICROS = 86_400_000_000
+_STATS = ("n", "sum_y", "sum_yy", "min_y", "max_y")
 
 
-def _forecast_group(ranges, steps: int, step: timedelta, names: Sequence[str]):
-    """Function of one series: fits every range and returns fitted and future rows."""
+def _forecast_group(ranges, steps: int, step_seconds: int, names: Sequence[str]):
+    """Function of one series: fits every range and returns fitted and future rows.
+
+    Works on plain arrays of microseconds; per-series pandas operations would cost more than
+    the fit itself.
+    """
+    step = step_seconds * 1_000_000
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("ds", ignore_index=True)
-        end = group["ds"].iloc[-1]
-        future = pd.Series([end + step * i for i in range(1, steps + 1)])
+        times = group["ds"].to_numpy("datetime64[us]").astype("int64")
+        order = np.argsort(times)
+        times = times[order]
+        stats = [group[c].to_numpy("float64")[order] for c in _STATS]
+        end = times[-1]
+        future = end + step * np.arange(1, steps + 1)
         parts = []
         for limit in ranges:
-            seen = group if limit is None else group[group["ds"] > end - timedelta(days=limit)]
-            at = pd.concat([seen["ds"], future], ignore_index=True)
-            fitted = fit_predict(
-                _days(seen["ds"]),
-                *(seen[c].to_numpy("float64") for c in ("n", "sum_y", "sum_yy", "min_y", "max_y")),
-                _days(at),
-            )
-            if fitted is None:
-                continue
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "ds": at,
-                        "yhat": fitted,
-                        "min_history_ds": seen["ds"].iloc[0] - step,
-                        "max_history_ds": end,
-                        "history_days": pd.array([limit] * len(at), dtype="Int32"),
-                        "kind": np.where(at <= end, HISTORY, FUTURE),
-                    }
-                )
-            )
-        if not parts:
-            return pd.DataFrame({name: [] for name in names})
-        out = pd.concat(parts, ignore_index=True)
-        for name, value in zip(schemas.SERIES_KEYS, key):
-            out[name] = value
-        return out[list(names)]
+            start = 0 if limit is None else np.searchsorted(times, end - limit * DAY_MICROS, "right")
+            at = np.concatenate([times[start:], future])
+            fitted = fit_predict(times[start:] / DAY_MICROS, *(s[start:] for s in stats), at / DAY_MICROS)
+            if fitted is not None:
+                parts.append((at, fitted, times[start] - step, limit))
+        sizes = [at.size for at, *_ in parts]
+        ds = np.concatenate([at for at, *_ in parts]) if parts else times[:0]
+        columns = {
+            "ds": ds.astype("datetime64[us]"),
+            "yhat": np.concatenate([f for _, f, *_ in parts]) if parts else np.empty(0),
+            "min_history_ds": np.repeat([p[2] for p in parts], sizes).astype("int64").astype("datetime64[us]"),
+            "max_history_ds": np.full(ds.size, end).astype("datetime64[us]"),
+            "history_days": pd.array(np.repeat([p[3] for p in parts], sizes).tolist(), dtype="Int32"),
+            "kind": np.where(ds <= end, HISTORY, FUTURE),
+            **{name: [value] * ds.size for name, value in zip(schemas.SERIES_KEYS, key)},
+        }
+        return pd.DataFrame({name: columns[name] for name in names})
 
     return run
 
@@ -69,6 +66,7 @@ def fit_series(
     steps: int = schemas.HORIZON_STEPS,
     step_seconds: int = schemas.STEP_SECONDS,
     broadcast_limit: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Fitted (``kind`` history) and forecast (``kind`` future) values of every series.
 
@@ -95,9 +93,17 @@ def fit_series(
         + [StructField("min_history_ds", time), StructField("max_history_ds", time)]
         + [StructField("history_days", IntegerType()), StructField("kind", StringType())]
     )
-    step = timedelta(seconds=step_seconds)
-    group = _forecast_group(tuple(ranges), steps, step, layout.names)
-    return points.groupBy(*schemas.SERIES_KEYS).applyInPandas(group, layout)
+    group = _forecast_group(tuple(ranges), steps, step_seconds, layout.names)
+    # Fitting costs far more than the bytes of a group suggest, so the number of tasks is set
+    # here; adaptive execution would merge the small partitions into a few slow tasks.
+    spread = points.repartition(partitions or fit_tasks(captures.sparkSession), *schemas.SERIES_KEYS)
+    return spread.groupBy(*schemas.SERIES_KEYS).applyInPandas(group, layout)
+
+
+def fit_tasks(spark: SparkSession) -> int:
+    """Number of fitting tasks: the configured shuffle width, at least two per core."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(width, 2 * spark.sparkContext.defaultParallelism)
 
 
 def in_sample(fitted: DataFrame) -> DataFrame:
