@@ -31,20 +31,28 @@ def series_range(
     )
 
 
+def series_ends(
+    captures: DataFrame, keys: Sequence[str] = schemas.SERIES_KEYS, ts: str = "Timestamp"
+) -> DataFrame:
+    """Last time of every series, written once; a combinable aggregate over two or three columns."""
+    return materialise(captures.groupBy(*keys).agg(F.max(ts).alias(_END)), "series-ends")
+
+
 def trim_history(
     captures: DataFrame,
     limit_days: int,
     keys: Sequence[str] = schemas.SERIES_KEYS,
     ts: str = "Timestamp",
+    ends: DataFrame | None = None,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Rows newer than the end of their own series less ``limit_days`` (strictly).
 
     A window over the key would put a whole series in one task. Instead the series ends, one
-    row per series, are computed by a combinable aggregate and written once. The earliest end
-    gives a bound that reaches the scan, and the exact test is a lookup join on the rest.
+    row per series, are computed first (or given as ``ends``). The earliest end gives a bound
+    that reaches the scan, and the exact test is a lookup join on the rest.
     """
-    ends = materialise(captures.groupBy(*keys).agg(F.max(ts).alias(_END)), "series-ends")
+    ends = series_ends(captures, keys, ts) if ends is None else ends
     floor = ends.agg((F.min(_END) - days(limit_days)).alias("floor"))
     recent = captures.filter(F.col(ts) > floor.scalar())
     return (

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from curbcount import schemas
 from curbcount.plans import rollups
 from curbcount.plans.accuracy import accuracy
 from curbcount.plans.forecast import forecast
-from curbcount.session import materialise
+from curbcount.session import materialise, scratch
 from curbcount.sources.snapshots import publish
 from curbcount.sources.topics import Topic, append, snapshot, split_valid
 
@@ -23,7 +22,8 @@ def forecast_cycle(
     even if a task is repeated.
     """
     history, _ = split_valid(snapshot(spark, captures, bound), schemas.CAPTURE_KEYS)
-    append(materialise(forecast(history, run_time=run_time), "forecast"), predictions)
+    with scratch(spark):
+        append(materialise(forecast(history, run_time=run_time), "forecast"), predictions)
 
 
 def rollup_frames(
@@ -50,11 +50,12 @@ def rollup_cycle(
     back the log is read at all.
     """
     valid, _ = split_valid(snapshot(spark, captures, bound), schemas.CAPTURE_KEYS)
-    kept = materialise(rollups.recent(valid), "recent-captures")
     places, _ = split_valid(snapshot(spark, segments), ["SegmentID"])
     guesses = snapshot(spark, predictions)
-    for name, table in rollup_frames(kept, places, guesses).items():
-        publish(table, f"{root}/{name}", version)
+    with scratch(spark):
+        kept = materialise(rollups.recent(valid), "recent-captures")
+        for name, table in rollup_frames(kept, places, guesses).items():
+            publish(table, f"{root}/{name}", version)
 
 
 def accuracy_cycle(spark: SparkSession, captures: Topic, predictions: Topic) -> DataFrame:

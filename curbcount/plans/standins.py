@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curbcount import schemas
 from curbcount.functions.event_time import tick_floor
+from curbcount.operators.lookup import lookup_join
 from curbcount.plans.forecast import seasonal_naive
 
 # Event users and customers have 64-bit keys.
@@ -74,14 +75,17 @@ def point_text(key: Column, nation: Column) -> Column:
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     """Events joined with their place, in the layout of the raw counts."""
     ts = F.col("ts")
-    located = events(spark, folder).join(places(spark, folder), F.col("user_id") == F.col("c_custkey"))
+    found = places(spark, folder).select("c_custkey", "c_mktsegment", "n_nationkey", "n_name", "r_name")
+    located = lookup_join(
+        events(spark, folder).withColumnRenamed("user_id", "c_custkey"), found, ["c_custkey"]
+    )
     return located.select(
         F.col("event_id").alias("RequestID"),
         F.col("r_name").alias("Boro"),
         F.year(ts).alias("Yr"), F.month(ts).alias("M"), F.day(ts).alias("D"),
         F.hour(ts).alias("HH"), F.minute(ts).alias("MM"),
         F.floor("value").cast("int").alias("Vol"),
-        F.col("user_id").alias("SegmentID"),
+        F.col("c_custkey").alias("SegmentID"),
         point_text(F.col("c_custkey"), F.col("n_nationkey")).alias("WktGeom"),
         F.col("n_name").alias("Street"),
         F.col("c_mktsegment").alias("fromSt"),

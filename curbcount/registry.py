@@ -10,6 +10,7 @@ from curbcount.functions import event_time as et
 from curbcount.functions import geo
 from curbcount.functions.text import file_label
 from curbcount.operators import quality, series
+from curbcount.operators.lookup import lookup_join
 from curbcount.plans import accuracy, cycles, forecast, preparation, rollups
 from curbcount.plans import standins as st
 from curbcount.session import new_path
@@ -162,7 +163,7 @@ def mean_from_partials(spark, folder):
 SELECT SegmentID, Direction, Vol, Timestamp, Boro, street FROM capture JOIN segment USING (SegmentID)
 WHERE Boro = 'ASIA'""")
 def one_borough(spark, folder):
-    rows = st.captures(spark, folder).join(st.segments(spark, folder), "SegmentID")
+    rows = lookup_join(st.captures(spark, folder), st.segments(spark, folder), ["SegmentID"])
     return rollups.borough_series(rows, "ASIA").select(
         "SegmentID", "Direction", "Vol", "Timestamp", "Boro", "street"
     )
@@ -416,8 +417,9 @@ WHERE Timestamp > last - INTERVAL '{days} days'"""
 @_query(_with(_CAPTURE) + " UNION ALL ".join(_trim_sql(d) for d in schemas.HISTORY_DAYS))
 def trim_history(spark, folder):
     rows = st.captures(spark, folder)
+    ends = series.series_ends(rows)
     return preparation.stack([
-        series.trim_history(rows, d).withColumn("history_days", F.lit(d)) for d in schemas.HISTORY_DAYS
+        series.trim_history(rows, d, ends=ends).withColumn("history_days", F.lit(d)) for d in schemas.HISTORY_DAYS
     ])
 
 

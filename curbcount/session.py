@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +49,29 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/curbcount/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or below the open scratch folder."""
+    root = _scratch.get() or f"{shared_dir(spark)}/curbcount"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Collects the intermediate tables of a job that runs to its end, and removes them after.
+
+    Frames built inside read from this folder, so they must be written out before it closes.
+    """
+    root = new_path(spark, "scratch")
+    token = _scratch.set(root)
+    try:
+        yield root
+    finally:
+        _scratch.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

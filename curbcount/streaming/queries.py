@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from curbcount import schemas
-from curbcount.operators.lookup import fits_broadcast
+from curbcount.operators.lookup import fits_broadcast, lookup_join
 from curbcount.plans.rollups import borough_means, borough_partials
 from curbcount.session import new_path
 from curbcount.sources.snapshots import publish
@@ -105,11 +105,11 @@ def partial_means_writer(
 def latest_captures_writer(root: str, segments: DataFrame) -> BatchFunction:
     """Handler for new captures: serve the joined batch, append its borough sums."""
     sums = partial_means_writer(f"{root}/partials", segments)
-    # The checked choice of join belongs to the rollup; this serves single rows.
+
     def handle(batch: DataFrame, epoch: int) -> None:
         kept = batch.persist()
         try:
-            publish(kept.join(segments, "SegmentID"), f"{root}/batch", epoch)
+            publish(lookup_join(kept, segments, ["SegmentID"]), f"{root}/batch", epoch)
             sums(kept, epoch)
         finally:
             kept.unpersist()
