@@ -1,0 +1,186 @@
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from curbcount import schemas
+from curbcount.functions.event_time import MINUTE_FORMAT
+from curbcount.session import new_path, scratch, materialise, shared_dir
+from curbcount.sources import snapshots, tables, topics
+from curbcount.sources.topics import Topic
+
+from .conftest import at, plan, rows
+
+CAPTURES = [
+    (1, "NB", 5, at("2017-06-20 00:15")), (2, "SB", 0, at("2017-06-20 00:30")), (3, "EB", 7, at("2017-06-21 00:00")),
+]
+
+
+def test_segment_file_header_and_order(spark, tmp_path):
+    (tmp_path / "segment.csv").write_text(
+        "SegmentID,Boro,Street,fromSt,toSt,Long,Lat\n"
+        "7,Bronx,A,B,C,-73.9,40.8\n,Queens,D,E,F,-73.8,40.7\n"
+    )
+    table = tables.read_segments(spark, str(tmp_path / "segment.csv"))
+    assert [tuple(r) for r in table.collect()] == [(7, "Bronx", "A", "B", "C", 40.8, -73.9)]
+    (tmp_path / "swapped.csv").write_text("SegmentID,Boro,Street,fromSt,toSt,Lat,Long\n7,B,A,B,C,40.8,-73.9\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_segments(spark, str(tmp_path / "swapped.csv")).collect()
+
+
+def test_many_files_and_other_files_in_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,NB,5,2017-06-20 00:15:00\n")
+    (tmp_path / "b.csv").write_text("2,SB,6,2017-06-20 00:15:00\n")
+    (tmp_path / "notes.txt").write_text("9,XX,9,2017-06-20 00:15:00\n")
+    assert rows(tables.read_captures(spark, str(tmp_path)).select("SegmentID")) == [(1,), (2,)]
+    both = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    assert tables.read_captures(spark, both).count() == 2
+
+
+def test_bad_arguments_raise_value_error(spark, tmp_path):
+    for paths in (None, "", [], [""]):
+        with pytest.raises(ValueError):
+            tables.read_captures(spark, paths)
+    with pytest.raises(ValueError):
+        tables.read_captures(spark, str(tmp_path / "missing.csv"))
+    with pytest.raises(ValueError):
+        tables.read_captures(None, str(tmp_path))
+
+
+def test_malformed_lines_are_kept_for_quarantine(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,NB,5,2017-06-20 00:15:00\nx,SB,6,2017-06-20 00:15:00\n")
+    table = tables.read_csv(spark, str(tmp_path / "a.csv"), schemas.CAPTURE, keep_corrupt=True)
+    bad = table.filter(F.col(tables.CORRUPT).isNotNull()).collect()
+    assert [r[tables.CORRUPT] for r in bad] == ["x,SB,6,2017-06-20 00:15:00"]
+
+
+def test_encode_leaves_out_nulls_and_cuts_fractions(make):
+    frame = make([(1, None, 5, at("2017-06-20 00:15:00.900"))])
+    assert json.loads(topics.encode(frame).first()[0]) == {
+        "SegmentID": 1, "Vol": 5, "Timestamp": "2017-06-20 00:15:00",
+    }
+    assert json.loads(topics.encode(frame, MINUTE_FORMAT).first()[0])["Timestamp"] == "2017-06-20 00:15"
+
+
+def test_decode_bad_records(spark):
+    texts = [
+        '{"SegmentID":1,"Direction":"NB","Vol":5,"Timestamp":"2017-06-20 00:15:00"}',
+        '{"SegmentID":2,"Direction":"NB","Timestamp":"2017-06-20 00:15"}',
+        '{"SegmentID":3,"Vol":"many"}',
+        "not json",
+        "",
+    ]
+    frame = topics.decode(spark.createDataFrame([(t,) for t in texts], "value string"), schemas.CAPTURE)
+    assert [tuple(r) for r in frame.collect()] == [
+        (1, "NB", 5, at("2017-06-20 00:15")), (2, "NB", None, at("2017-06-20 00:15")),
+        (3, None, None, None), (None,) * 4, (None,) * 4,
+    ]
+    good, rest = topics.split_valid(frame, ["SegmentID", "Timestamp"])
+    assert (good.count(), rest.count()) == (2, 3)
+
+
+def test_decode_accepts_bytes_and_schema_forms(spark):
+    value = spark.createDataFrame([(bytearray(b'{"SegmentID":1}'),)], "value binary")
+    for schema in (schemas.CAPTURE, schemas.CAPTURE.split(", "), schemas.resolve(schemas.CAPTURE)):
+        assert topics.decode(value, schema).first()["SegmentID"] == 1
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(-2**31, 2**31 - 1)), st.one_of(st.none(), st.text(max_size=5)),
+    st.one_of(st.none(), st.integers(0, 1000)),
+    st.one_of(st.none(), st.datetimes(at("1990-01-01"), at("2100-01-01")).map(lambda d: d.replace(microsecond=0))),
+), min_size=1, max_size=20))
+def test_decode_inverts_encode(make, records):
+    records = [(a, None if b is None else b.encode("utf-8", "ignore").decode(), c, d) for a, b, c, d in records]
+    frame = make(records)
+    assert rows(topics.decode(topics.encode(frame), schemas.CAPTURE)) == rows(frame)
+
+
+def test_coerce_strict_and_quarantine(spark):
+    frame = spark.createDataFrame(
+        [("1", "NB", "5", "2017-06-20 00:15:00"), ("2", "", "6", ""), ("x", "NB", "5", "2017-06-20 00:15:00"),
+         ("4", "NB", "5.5", "2017-06-20 00:15:00"), ("5", "NB", "5", "20 June")],
+        "SegmentID string, Direction string, Vol string, Timestamp string",
+    )
+    coerced = topics.coerce(frame, schemas.CAPTURE)
+    assert [r["rejected"] for r in coerced.collect()] == [False, False, True, True, True]
+    kept = topics.require_valid(coerced.limit(2))
+    assert rows(kept) == [(1, "NB", 5, at("2017-06-20 00:15")), (2, "", 6, None)]
+    with pytest.raises(Exception, match="does not fit"):
+        topics.require_valid(coerced).collect()
+
+
+def test_lower_bound_is_inclusive_and_checked(make):
+    frame = make(CAPTURES)
+    assert rows(topics.since(frame, at("2017-06-20 00:30")).select("SegmentID")) == [(2,), (3,)]
+    assert topics.since(frame, None).count() == 3
+    with pytest.raises(ValueError):
+        topics.since(frame, at("2017-06-20 00:30"), ts="when")
+
+
+def test_log_snapshot_grows_and_filters(spark, make, tmp_path):
+    topic = Topic("captures", schemas.CAPTURE, str(tmp_path / "log"))
+    topics.append(make(CAPTURES[:2]), topic)
+    topics.append(make(CAPTURES[2:]), topic)
+    assert rows(topics.snapshot(spark, topic)) == sorted(CAPTURES)
+    assert topics.snapshot(spark, topic, at("2017-06-21 00:00")).count() == 1
+
+
+def test_csv_to_log(spark, make, tmp_path):
+    topic = Topic("captures", schemas.CAPTURE, str(tmp_path / "log"))
+    tables.write_csv(make(CAPTURES), str(tmp_path / "in"))
+    topics.append_csv(spark, str(tmp_path / "in"), topic)
+    assert rows(topics.snapshot(spark, topic)) == sorted(CAPTURES)
+
+
+def test_kafka_topics_use_the_connector(spark, make):
+    """The connector is not on the class path here, so only its use can be seen."""
+    topic = Topic("captures", schemas.CAPTURE, brokers="broker:9092")
+    for use in (
+        lambda: topics.snapshot(spark, topic), lambda: topics.stream(spark, topic),
+        lambda: topics.append(make(CAPTURES), topic),
+    ):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            use()
+
+
+def test_daily_copy_prunes_and_pushes(spark, make, tmp_path):
+    path = str(tmp_path / "daily")
+    tables.write_by_day(make(CAPTURES), path)
+    recent = tables.read_by_day(spark, path, F.lit("2017-06-20 00:30:00").cast("timestamp_ntz"))
+    assert rows(recent) == sorted(CAPTURES[1:])
+    text = plan(recent)
+    assert "event_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(Timestamp" in text
+
+
+def test_borough_folders(spark, make, tmp_path):
+    frame = make([(1, "Bronx"), (3, "Staten Island")], "SegmentID INT, Boro STRING")
+    tables.write_by_borough(frame, str(tmp_path / "live"))
+    assert sorted(p.name for p in (tmp_path / "live").iterdir() if p.is_dir()) == ["Boro=Bronx", "Boro=Staten_Island"]
+    back = tables.read_csv(spark, str(tmp_path / "live"), "SegmentID INT, Boro STRING")
+    assert "Boro" in plan(back.filter("Boro = 'Bronx'")).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_published_versions(spark, make, tmp_path):
+    root, layout = str(tmp_path / "served"), "a INT, b STRING"
+    snapshots.publish(make([(1, "x")], layout), root, 1)
+    snapshots.publish(make([(2, "y"), (3, "z")], layout), root, 2)
+    assert rows(snapshots.read_latest(spark, root, layout)) == [(2, "y"), (3, "z")]
+    # A version whose data are written but not announced stays invisible.
+    make([(9, "half")], layout).write.csv(f"{root}/data/version={3:012d}", header=True)
+    assert snapshots.latest_version(spark, root) == 2
+    snapshots.publish(make([(4, "w")], layout), root, 2)
+    assert rows(snapshots.read_latest(spark, root, layout)) == [(4, "w")]
+
+
+def test_scratch_is_removed(spark, make):
+    with scratch(spark) as root:
+        assert root.startswith(shared_dir(spark))
+        kept = materialise(make(CAPTURES), "part")
+        assert kept.count() == 3 and root in kept.inputFiles()[0]
+    assert not __import__("os").path.exists(root)
+    assert not new_path(spark, "x").startswith(root)
