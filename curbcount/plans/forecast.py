@@ -44,12 +44,14 @@ def _forecast_group(ranges, steps: int, step_seconds: int, names: Sequence[str])
             fitted = fit_predict(times[start:] / DAY_MICROS, *(s[start:] for s in stats), at / DAY_MICROS)
             if fitted is not None:
                 parts.append((at, fitted, times[start] - step, limit))
+        if not parts:  # one row without a value, dropped outside: an empty frame has no types
+            parts = [(times[-1:], np.array([np.nan]), times[0], None)]
         sizes = [at.size for at, *_ in parts]
-        ds = np.concatenate([at for at, *_ in parts]) if parts else times[:0]
+        ds = np.concatenate([at for at, *_ in parts])
         columns = {
             "ds": ds.astype("datetime64[us]"),
-            "yhat": np.concatenate([f for _, f, *_ in parts]) if parts else np.empty(0),
-            "min_history_ds": np.repeat([p[2] for p in parts], sizes).astype("int64").astype("datetime64[us]"),
+            "yhat": np.concatenate([f for _, f, *_ in parts]),
+            "min_history_ds": np.repeat([p[2] for p in parts], sizes).astype("datetime64[us]"),
             "max_history_ds": np.full(ds.size, end).astype("datetime64[us]"),
             "history_days": pd.array(np.repeat([p[3] for p in parts], sizes).tolist(), dtype="Int32"),
             "kind": np.where(ds <= end, HISTORY, FUTURE),
@@ -97,7 +99,8 @@ def fit_series(
     # Fitting costs far more than the bytes of a group suggest, so the number of tasks is set
     # here; adaptive execution would merge the small partitions into a few slow tasks.
     spread = points.repartition(partitions or fit_tasks(captures.sparkSession), *schemas.SERIES_KEYS)
-    return spread.groupBy(*schemas.SERIES_KEYS).applyInPandas(group, layout)
+    fitted = spread.groupBy(*schemas.SERIES_KEYS).applyInPandas(group, layout)
+    return fitted.filter(F.col("yhat").isNotNull())
 
 
 def fit_tasks(spark: SparkSession) -> int:
