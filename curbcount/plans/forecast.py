@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,43 +22,80 @@ DAY_MICROS = 86_400_000_000
 _STATS = ("n", "sum_y", "sum_yy", "min_y", "max_y")
 
 
-def _forecast_group(ranges, steps: int, step_seconds: int, names: Sequence[str]):
-    """Function of one series: fits every range and returns fitted and future rows.
+def _series_fits(times, stats, ranges, steps: int, step: int) -> list[tuple]:
+    """Fits of one series: times, values, start of history, end of history, range in days."""
+    end = times[-1]
+    future = end + step * np.arange(1, steps + 1)
+    fits = []
+    for limit in ranges:
+        start = 0 if limit is None else np.searchsorted(times, end - limit * DAY_MICROS, "right")
+        at = np.concatenate([times[start:], future])
+        values = fit_predict(times[start:] / DAY_MICROS, *(s[start:] for s in stats), at / DAY_MICROS)
+        if values is not None:
+            fits.append((at, values, times[start] - step, end, limit))
+    return fits
 
-    Works on plain arrays of microseconds; per-series pandas operations would cost more than
-    the fit itself.
+
+def _fit_sorted(ranges, steps: int, step_seconds: int, names: Sequence[str]):
+    """Function over a partition sorted by series and time: fits each series as it completes.
+
+    Many short series share one Arrow batch, which costs less than a batch per series; a
+    series that runs over several batches is held until it ends. Only one batch and one
+    series are in memory.
     """
     step = step_seconds * 1_000_000
 
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        times = group["ds"].to_numpy("datetime64[us]").astype("int64")
-        order = np.argsort(times)
-        times = times[order]
-        stats = [group[c].to_numpy("float64")[order] for c in _STATS]
-        end = times[-1]
-        future = end + step * np.arange(1, steps + 1)
-        parts = []
-        for limit in ranges:
-            start = 0 if limit is None else np.searchsorted(times, end - limit * DAY_MICROS, "right")
-            at = np.concatenate([times[start:], future])
-            fitted = fit_predict(times[start:] / DAY_MICROS, *(s[start:] for s in stats), at / DAY_MICROS)
-            if fitted is not None:
-                parts.append((at, fitted, times[start] - step, limit))
-        if not parts:  # one row without a value, dropped outside: an empty frame has no types
-            parts = [(times[-1:], np.array([np.nan]), times[0], None)]
-        sizes = [at.size for at, *_ in parts]
-        ds = np.concatenate([at for at, *_ in parts])
+    def fit_all(frame: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
+        times = frame["ds"].to_numpy("datetime64[us]").astype("int64")
+        stats = [frame[c].to_numpy("float64") for c in _STATS]
+        keys = [frame[k].to_numpy() for k in schemas.SERIES_KEYS]
+        fits, owners = [], []
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            found = _series_fits(times[lo:hi], [s[lo:hi] for s in stats], ranges, steps, step)
+            fits += found
+            owners += [lo] * len(found)
+        if not fits:
+            return None
+        at, values, starts, ends, limits = zip(*fits)
+        sizes = [a.size for a in at]
+        ds, end, owner = np.concatenate(at), np.repeat(ends, sizes), np.repeat(owners, sizes)
         columns = {
             "ds": ds.astype("datetime64[us]"),
-            "yhat": np.concatenate([f for _, f, *_ in parts]),
-            "min_history_ds": np.repeat([p[2] for p in parts], sizes).astype("datetime64[us]"),
-            "max_history_ds": np.full(ds.size, end).astype("datetime64[us]"),
-            "history_days": pd.array(np.repeat([p[3] for p in parts], sizes).tolist(), dtype="Int32"),
+            "yhat": np.concatenate(values),
+            "min_history_ds": np.repeat(starts, sizes).astype("datetime64[us]"),
+            "max_history_ds": end.astype("datetime64[us]"),
+            "history_days": pd.array(np.repeat(np.array(limits, dtype=object), sizes), dtype="Int32"),
             "kind": np.where(ds <= end, HISTORY, FUTURE),
-            **{name: [value] * ds.size for name, value in zip(schemas.SERIES_KEYS, key)},
+            **{name: key[owner] for name, key in zip(schemas.SERIES_KEYS, keys)},
         }
         return pd.DataFrame({name: columns[name] for name in names})
 
+    def starts(batch: pd.DataFrame, before: pd.DataFrame | None) -> np.ndarray:
+        """Positions where a new series begins, given the rows that came before."""
+        new = np.zeros(len(batch), dtype=bool)
+        for k in schemas.SERIES_KEYS:
+            column = batch[k].to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+            new[0] |= before is None or before[k].iloc[-1] != column[0]
+        return np.flatnonzero(new)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # rows of the series that may go on
+        for batch in filter(len, batches):
+            begins = starts(batch, held[-1] if held else None)
+            held.append(batch)
+            if not begins.size:
+                continue
+            pool = pd.concat(held, ignore_index=True)
+            cuts = np.unique([0, *(begins + len(pool) - len(batch))])
+            if cuts.size > 1 and (done := fit_all(pool, cuts)) is not None:
+                yield done
+            held = [pool.iloc[cuts[-1] :]]
+        if held:
+            pool = pd.concat(held, ignore_index=True)
+            if (done := fit_all(pool, np.array([0, len(pool)]))) is not None:
+                yield done
+
     return run
 
 
@@ -73,9 +110,9 @@ def fit_series(
     """Fitted (``kind`` history) and forecast (``kind`` future) values of every series.
 
     ``ranges`` are lengths of history in days, None meaning all of it. History is trimmed to
-    the longest range and collapsed to one row per series and second before the grouped
-    function sees it, so a group is bounded by time, not by the number of raw rows; all ranges
-    are fitted from that one group. Rows without key or time are left out.
+    the longest range and collapsed to one row per series and second before Python sees it, so
+    a series is bounded by time, not by the number of raw rows; all ranges are fitted from that
+    one pass. Rows without key or time are left out.
     """
     for needed in (*schemas.SERIES_KEYS, "Timestamp", "Vol"):
         if needed not in captures.columns:
@@ -95,12 +132,11 @@ def fit_series(
         + [StructField("min_history_ds", time), StructField("max_history_ds", time)]
         + [StructField("history_days", IntegerType()), StructField("kind", StringType())]
     )
-    group = _forecast_group(tuple(ranges), steps, step_seconds, layout.names)
-    # Fitting costs far more than the bytes of a group suggest, so the number of tasks is set
+    # Fitting costs far more than the bytes of a series suggest, so the number of tasks is set
     # here; adaptive execution would merge the small partitions into a few slow tasks.
     spread = points.repartition(partitions or fit_tasks(captures.sparkSession), *schemas.SERIES_KEYS)
-    fitted = spread.groupBy(*schemas.SERIES_KEYS).applyInPandas(group, layout)
-    return fitted.filter(F.col("yhat").isNotNull())
+    ordered = spread.sortWithinPartitions(*schemas.SERIES_KEYS, "ds")
+    return ordered.mapInPandas(_fit_sorted(tuple(ranges), steps, step_seconds, layout.names), layout)
 
 
 def fit_tasks(spark: SparkSession) -> int:

@@ -146,6 +146,25 @@ def test_result_does_not_depend_on_partitions(make, partitions, limit):
     assert rows(forecast.future(moved).withColumn("yhat", F.round("yhat", 9))) == wanted
 
 
+def test_series_that_span_batches(spark, make):
+    """Arrow batches may end anywhere inside a series."""
+    rng = np.random.default_rng(9)
+    lengths = (1, 3, 40, 2, 150, 5)
+    frame = make([r for s, n in enumerate(lengths) for r in history(rng.integers(0, 50, n), seg=s)], DOUBLE_CAPTURE)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, results = spark.conf.get(size), []
+    try:
+        for batch in (1, 2, 7, 1000):
+            spark.conf.set(size, batch)
+            fitted_rows = forecast.fit_series(frame, partitions=2).withColumn("yhat", F.round("yhat", 9))
+            results.append(rows(fitted_rows))
+    finally:
+        spark.conf.set(size, before)
+    assert all(r == results[0] for r in results)
+    # one day holds 96 of the 150 rows; a series has four future rows per range
+    assert len(results[0]) == sum(min(n, cap) + 4 for n in lengths for cap in (672, 288, 96))
+
+
 def test_prediction_layout_and_stamp(make):
     stamp = F.lit("2017-06-20 12:01:00").cast("timestamp_ntz")
     got = forecast.forecast(make(history(range(100)), DOUBLE_CAPTURE), ranges=(1,), run_time=stamp)
