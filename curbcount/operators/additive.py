@@ -48,11 +48,13 @@ def _seasons(days: np.ndarray) -> list[tuple[float, int]]:
 
 
 def _design(t: np.ndarray, days: np.ndarray, knots: np.ndarray, waves) -> np.ndarray:
-    columns = [t[:, None], np.ones((t.size, 1)), np.maximum(t[:, None] - knots[None, :], 0.0)]
+    """Columns: slope, level, seasons, and last the slope changes."""
+    columns = [t[:, None], np.ones((t.size, 1))]
     for period, order in waves:
         angle = 2.0 * np.pi * days[:, None] * np.arange(1, order + 1)[None, :] / period
         columns += [np.sin(angle), np.cos(angle)]
-    return np.hstack(columns)
+    columns.append(np.maximum(t[:, None] - knots[None, :], 0.0))
+    return np.concatenate(columns, axis=1)
 
 
 def _sparse_minimum(quad: np.ndarray, lin: np.ndarray, weight: float, x: np.ndarray) -> np.ndarray:
@@ -100,22 +102,19 @@ def _most_probable(gram, moment, square, rows, n_knots) -> np.ndarray:
     closed form. Trend and seasons have Gaussian priors and are eliminated exactly; the slope
     changes have a Laplace prior, which leaves a small sparse problem.
     """
-    changes = np.zeros(moment.size, dtype=bool)
-    changes[2 : 2 + n_knots] = True
-    ridge = np.full(moment.size, 1.0 / SEASON_SCALE**2)
+    m = moment.size - n_knots
+    ridge = np.full(m, 1.0 / SEASON_SCALE**2)
     ridge[:2] = 1.0 / TREND_SCALE**2
-    smooth = ~changes
-    inner, mixed = gram[np.ix_(smooth, smooth)], gram[np.ix_(smooth, changes)]
+    ridge = np.diag(ridge)
+    inner, mixed, bends = gram[:m, :m], gram[:m, m:], gram[m:, m:]
+    sides = np.concatenate([moment[:m, None], mixed], axis=1)
     theta, variance = np.zeros(moment.size), 0.01
     for _ in range(MAX_ROUNDS):
-        solved = np.linalg.solve(
-            inner + variance * np.diag(ridge[smooth]), np.column_stack([moment[smooth], mixed])
-        )
+        solved = np.linalg.solve(inner + variance * ridge, sides)
         if n_knots:
-            quad = gram[np.ix_(changes, changes)] - mixed.T @ solved[:, 1:]
-            lin = moment[changes] - mixed.T @ solved[:, 0]
-            theta[changes] = _sparse_minimum(quad, lin, variance / CHANGE_SCALE, theta[changes])
-        theta[smooth] = solved[:, 0] - solved[:, 1:] @ theta[changes]
+            quad, lin = bends - mixed.T @ solved[:, 1:], moment[m:] - mixed.T @ solved[:, 0]
+            theta[m:] = _sparse_minimum(quad, lin, variance / CHANGE_SCALE, theta[m:])
+        theta[:m] = solved[:, 0] - solved[:, 1:] @ theta[m:]
         residual = max(square - 2.0 * theta @ moment + theta @ gram @ theta, 0.0)
         root = np.sqrt(rows**2 + 4.0 * residual / NOISE_SCALE**2)
         previous, variance = variance, max(2.0 * residual / (rows + root), LEAST_VARIANCE)

@@ -52,11 +52,12 @@ def accuracy(
 ) -> DataFrame:
     """MAE and MAPE per history length and horizon; ``zero_vol`` counts rows MAPE leaves out.
 
-    The history lengths are filtered on the prediction side before anything is shuffled.
+    The history lengths are filtered on the prediction side before anything is shuffled, and
+    the axes are computed again after the join, so they are not shuffled either.
     """
-    scored = forecast_axes(predictions).filter(F.col("range_days").isin(*range_days))
+    wanted = forecast_axes(predictions).filter(F.col("range_days").isin(*range_days)).drop(*AXES)
     return (
-        errors(captures, scored)
+        forecast_axes(errors(captures, wanted))
         .groupBy(*AXES)
         .agg(
             F.avg("AE").alias("MAE"),
