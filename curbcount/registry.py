@@ -644,6 +644,16 @@ def stream_boro_mean(spark, folder):
     return out.withColumn("Vol", _r("Vol"))
 
 
+@_query(f"""SELECT user_id AS SegmentID, event_type AS Direction, CAST(floor(value) AS INTEGER) AS Vol,
+       date_trunc('minute', ts) AS Timestamp FROM events WHERE date_trunc('minute', ts) >= TIMESTAMP '{SINCE}'""")
+def stream_daily_copy(spark, folder):
+    """The log copied to typed files by a stream, read from a bound on."""
+    root = new_path(spark, "stream-copy")
+    rows = topics.stream(spark, _replayed(spark, folder, root))
+    sq.await_or_stop(sq.start_daily_copy(rows, f"{root}/copy", f"{root}/checkpoint", every_seconds=None))
+    return tables.read_by_day(spark, f"{root}/copy", F.lit(SINCE).cast("timestamp_ntz"))
+
+
 @_query(_with(_CAPTURE, _SEGMENT) + """
 SELECT Boro, Timestamp, round(avg(Vol), 6) AS Vol FROM capture JOIN segment USING (SegmentID)
 GROUP BY Boro, Timestamp""")

@@ -13,6 +13,7 @@ from curbcount.operators.lookup import fits_broadcast, lookup_join
 from curbcount.plans.rollups import borough_means, borough_partials
 from curbcount.session import new_path
 from curbcount.sources.snapshots import publish
+from curbcount.sources.tables import DAY
 
 BatchFunction = Callable[[DataFrame, int], None]
 EPOCH = "epoch"
@@ -48,6 +49,24 @@ def await_or_stop(query: StreamingQuery, timeout: float | None = None) -> bool:
     return ended
 
 
+def start_daily_copy(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    ts: str = "Timestamp",
+    every_seconds: int | None = schemas.CYCLE_SECONDS,
+) -> StreamingQuery:
+    """Keep a typed copy of a log, one folder per event date, each record exactly once.
+
+    Batch jobs then read only the dates and columns they need instead of decoding the log.
+    """
+    dated = stream.withColumn(DAY, F.to_date(ts))
+    writer = dated.writeStream.format("parquet").partitionBy(DAY).option("checkpointLocation", checkpoint)
+    if every_seconds is None:
+        return writer.trigger(availableNow=True).start(path)
+    return writer.trigger(processingTime=f"{every_seconds} seconds").start(path)
+
+
 def event_time(stream: DataFrame, ts: str = "Timestamp") -> Column:
     """Event time in the type a watermark needs."""
     return F.col(ts).cast("timestamp")
