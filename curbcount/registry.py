@@ -228,7 +228,7 @@ def format_timestamps(spark, folder):
 
 @_query("""SELECT event_id, floor(epoch(ts - TIMESTAMP '2024-01-01')) / 60 / 60 / 24 AS in_days,
        floor(epoch(ts - TIMESTAMP '2024-01-01')) / 60 AS in_minutes,
-       round(epoch_us(ts) / 900e6 - epoch_us(TIMESTAMP '2024-01-01') / 900e6, 5) AS quarters FROM events""")
+       (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 900e6 AS quarters FROM events""")
 def interval_days(spark, folder):
     origin = F.lit("2024-01-01").cast("timestamp_ntz")
     span = F.col("ts") - origin
@@ -236,7 +236,7 @@ def interval_days(spark, folder):
         "event_id",
         et.interval_days(span).alias("in_days"),
         et.interval_minutes(span).alias("in_minutes"),
-        _r(et.steps_between("ts", origin), 5).alias("quarters"),
+        et.steps_between("ts", origin).alias("quarters"),
     )
 
 
