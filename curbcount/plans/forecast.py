@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,21 +22,21 @@ DAY_MICROS = 86_400_000_000
 _STATS = ("n", "sum_y", "sum_yy", "min_y", "max_y")
 
 
-def _series_fits(times, stats, ranges, steps: int, step: int) -> list[tuple]:
+def _series_fits(times, stats, ranges, steps: int, step: int, include_history: bool) -> list[tuple]:
     """Fits of one series: times, values, start of history, end of history, range in days."""
     end = times[-1]
     future = end + step * np.arange(1, steps + 1)
     fits = []
     for limit in ranges:
         start = 0 if limit is None else np.searchsorted(times, end - limit * DAY_MICROS, "right")
-        at = np.concatenate([times[start:], future])
+        at = np.concatenate([times[start:], future]) if include_history else future
         values = fit_predict(times[start:] / DAY_MICROS, *(s[start:] for s in stats), at / DAY_MICROS)
         if values is not None:
             fits.append((at, values, times[start] - step, end, limit))
     return fits
 
 
-def _fit_sorted(ranges, steps: int, step_seconds: int, names: Sequence[str]):
+def _fit_sorted(ranges, steps: int, step_seconds: int, include_history: bool, names: Sequence[str]):
     """Function over a partition sorted by series and time: fits each series as it completes.
 
     Many short series share one Arrow batch, which costs less than a batch per series; a
@@ -51,7 +51,7 @@ def _fit_sorted(ranges, steps: int, step_seconds: int, names: Sequence[str]):
         keys = [frame[k].to_numpy() for k in schemas.SERIES_KEYS]
         fits, owners = [], []
         for lo, hi in zip(cuts[:-1], cuts[1:]):
-            found = _series_fits(times[lo:hi], [s[lo:hi] for s in stats], ranges, steps, step)
+            found = _series_fits(times[lo:hi], [s[lo:hi] for s in stats], ranges, steps, step, include_history)
             fits += found
             owners += [lo] * len(found)
         if not fits:
@@ -99,6 +99,32 @@ def _fit_sorted(ranges, steps: int, step_seconds: int, names: Sequence[str]):
     return run
 
 
+def bounded_points(
+    captures: DataFrame, limit_days: int | None = max(schemas.HISTORY_DAYS), broadcast_limit: int | None = None
+) -> DataFrame:
+    """Observations of every series within the last ``limit_days`` before its own end."""
+    for needed in (*schemas.SERIES_KEYS, "Timestamp", "Vol"):
+        if needed not in captures.columns:
+            raise ValueError(f"history must contain column {needed}")
+    usable = captures.select(*schemas.SERIES_KEYS, "Timestamp", "Vol").dropna(
+        subset=[*schemas.SERIES_KEYS, "Timestamp"]
+    )
+    if limit_days is not None:
+        usable = trim_history(usable, limit_days, broadcast_limit=broadcast_limit)
+    return observations(usable)
+
+
+def apply_per_series(
+    captures: DataFrame,
+    function: Callable[[tuple, pd.DataFrame], pd.DataFrame],
+    schema: StructType | list[str] | str,
+    limit_days: int | None = max(schemas.HISTORY_DAYS),
+) -> DataFrame:
+    """Any function of one series, given its key and its bounded observations as pandas."""
+    points = bounded_points(captures, limit_days)
+    return points.groupBy(*schemas.SERIES_KEYS).applyInPandas(function, schemas.resolve(schema))
+
+
 def fit_series(
     captures: DataFrame,
     ranges: Sequence[int | None] = schemas.HISTORY_DAYS,
@@ -106,23 +132,18 @@ def fit_series(
     step_seconds: int = schemas.STEP_SECONDS,
     broadcast_limit: int | None = None,
     partitions: int | None = None,
+    include_history: bool = True,
 ) -> DataFrame:
     """Fitted (``kind`` history) and forecast (``kind`` future) values of every series.
 
     ``ranges`` are lengths of history in days, None meaning all of it. History is trimmed to
     the longest range and collapsed to one row per series and second before Python sees it, so
     a series is bounded by time, not by the number of raw rows; all ranges are fitted from that
-    one pass. Rows without key or time are left out.
+    one pass. Rows without key or time are left out. Without ``include_history`` only the
+    future rows leave Python.
     """
-    for needed in (*schemas.SERIES_KEYS, "Timestamp", "Vol"):
-        if needed not in captures.columns:
-            raise ValueError(f"history must contain column {needed}")
-    usable = captures.select(*schemas.SERIES_KEYS, "Timestamp", "Vol").dropna(
-        subset=[*schemas.SERIES_KEYS, "Timestamp"]
-    )
-    if all(r is not None for r in ranges):
-        usable = trim_history(usable, max(ranges), broadcast_limit=broadcast_limit)
-    points = observations(usable)
+    limit = None if None in ranges else max(ranges)
+    points = bounded_points(captures, limit, broadcast_limit)
     keys = [StructField(k, captures.schema[k].dataType) for k in schemas.SERIES_KEYS]
     time = points.schema["ds"].dataType
     layout = StructType(
@@ -136,7 +157,8 @@ def fit_series(
     # here; adaptive execution would merge the small partitions into a few slow tasks.
     spread = points.repartition(partitions or fit_tasks(captures.sparkSession), *schemas.SERIES_KEYS)
     ordered = spread.sortWithinPartitions(*schemas.SERIES_KEYS, "ds")
-    return ordered.mapInPandas(_fit_sorted(tuple(ranges), steps, step_seconds, layout.names), layout)
+    fit = _fit_sorted(tuple(ranges), steps, step_seconds, include_history, layout.names)
+    return ordered.mapInPandas(fit, layout)
 
 
 def fit_tasks(spark: SparkSession) -> int:
@@ -178,7 +200,8 @@ def forecast(
     **options,
 ) -> DataFrame:
     """The prediction table of one run: every series, every range, the next steps."""
-    return as_predictions(future(fit_series(captures, ranges, **options)), run_time, keep_days)
+    fitted = fit_series(captures, ranges, include_history=False, **options)
+    return as_predictions(future(fitted), run_time, keep_days)
 
 
 def trend_fit(captures: DataFrame) -> DataFrame:
@@ -230,6 +253,6 @@ def seasonal_naive(
 
 
 __all__ = [
-    "as_predictions", "fit_series", "forecast", "future", "in_sample", "seasonal_naive",
+    "apply_per_series", "as_predictions", "bounded_points", "fit_series", "forecast", "future", "in_sample", "seasonal_naive",
     "series_range", "trend_fit", "trend_forecast",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -503,6 +504,20 @@ def in_sample_rows(spark, folder):
     return fitted.select(*schemas.SERIES_KEYS, "ds", "min_history_ds", "max_history_ds", "history_days")
 
 
+def _level(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
+    total, n = points["sum_y"].sum(), points["n"].sum()
+    return pd.DataFrame({"SegmentID": [key[0]], "Direction": [key[1]], "n": [n], "level": [round(total / n, 6)]})
+
+
+@_query(_with(_CAPTURE) + f"""
+SELECT SegmentID, Direction, count(*) AS n, round(avg(Vol), 6) AS level
+FROM ({_trim_sql(7)}) GROUP BY SegmentID, Direction""")
+def own_model(spark, folder):
+    """A user's own function of one series, here the mean of the last seven days."""
+    layout = "SegmentID BIGINT, Direction STRING, n BIGINT, level DOUBLE"
+    return forecast.apply_per_series(st.captures(spark, folder), _level, layout, limit_days=7)
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 
@@ -614,7 +629,7 @@ def replay_ticks(spark, folder):
     """Every tenth row arrives late and joins the tick already reached."""
     late = F.when(F.pmod("event_id", F.lit(10)) == 0, F.col("ts") - et.hours(2)).otherwise(F.col("ts"))
     rows = st.events(spark, folder).select("event_id", late.alias("ts"))
-    return series.running_ticks(rows, "event_id", ts="ts", block_rows=1_000)
+    return series.running_ticks(rows, "event_id", ts="ts")
 
 
 def _replayed(spark, folder, root: str) -> Topic:

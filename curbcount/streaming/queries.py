@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from curbcount import schemas
-from curbcount.operators.lookup import fits_broadcast, lookup_join
+from curbcount.operators.lookup import lookup_join
 from curbcount.plans.rollups import borough_means, borough_partials
 from curbcount.session import new_path
 from curbcount.sources.snapshots import publish
@@ -67,7 +67,7 @@ def start_daily_copy(
     return writer.trigger(processingTime=f"{every_seconds} seconds").start(path)
 
 
-def event_time(stream: DataFrame, ts: str = "Timestamp") -> Column:
+def event_time(ts: str = "Timestamp") -> Column:
     """Event time in the type a watermark needs."""
     return F.col(ts).cast("timestamp")
 
@@ -83,15 +83,12 @@ def borough_windows(
 ) -> DataFrame:
     """Mean volume per borough and step as a stream; a window is emitted once it is closed.
 
-    The dimension joins each micro-batch: broadcast when it is small, by key otherwise. The
+    The dimension joins each micro-batch: broadcast when it is small, by salted key otherwise. The
     state is one sum and count per borough and open window.
     """
-    places = segments.select("SegmentID", "Boro")
-    if fits_broadcast(places, limit):
-        places = F.broadcast(places)
-    joined = stream.withColumn("event_time", event_time(stream, ts)).withWatermark("event_time", delay)
+    timed = stream.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
     return (
-        joined.join(places, "SegmentID")
+        lookup_join(timed, segments.select("SegmentID", "Boro"), ["SegmentID"], limit)
         .groupBy(F.window("event_time", f"{step_seconds} seconds"), "Boro")
         .agg(F.sum(value).alias("sum_vol"), F.count(value).alias("n_vol"))
         .select(

@@ -97,6 +97,24 @@ def test_ranges_windows_and_bounds(make):
     assert forecast.in_sample(unlimited).count() == 768 and unlimited.first()["history_days"] is None
 
 
+def test_future_rows_do_not_depend_on_history_rows(make):
+    frame = make(history(np.arange(300) % 50), DOUBLE_CAPTURE)
+    lean = forecast.fit_series(frame, include_history=False)
+    assert rows(lean) == rows(forecast.future(forecast.fit_series(frame))) and lean.count() == 12
+
+
+def test_own_function_per_series(make):
+    frame = make(history([1, 2, 3]) + history([5], seg=2), DOUBLE_CAPTURE)
+
+    def total(key, points):
+        import pandas as pd
+
+        return pd.DataFrame({"SegmentID": [key[0]], "total": [points["sum_y"].sum()]})
+
+    got = forecast.apply_per_series(frame, total, "SegmentID INT, total DOUBLE")
+    assert rows(got) == [(1, 6.0), (2, 5.0)]
+
+
 def test_gap_at_the_start_shortens_the_measured_range(make):
     records = history(np.arange(96))[1:]
     predictions = forecast.forecast(make(records, DOUBLE_CAPTURE), ranges=(1,), keep_days=True)
