@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from curbcount.llm.common import documents
 from curbcount.llm.decontaminate import find_contamination
 from curbcount.llm.exact_dedup import exact_groups
+from curbcount.llm.simhash import near_groups
 from curbcount.llm.token_counts import count_tokens
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +27,14 @@ def _query(sql: str | None = None):
     return add
 
 
+# ---------------------------------------------------------------- 2 SimHash near-dedup
+
+
+@_query()
+def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(documents(spark, folder))
+
+
 # ---------------------------------------------------------------- 6 benchmark decontamination
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
