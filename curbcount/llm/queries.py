@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from curbcount.llm.byte_bpe import round_trip
 from curbcount.llm.common import documents
 from curbcount.llm.decontaminate import find_contamination
 from curbcount.llm.exact_dedup import exact_groups
@@ -62,6 +63,14 @@ def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.select("record.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+# ---------------------------------------------------------------- 7 byte-level BPE
+
+
+@_query()
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 # ---------------------------------------------------------------- 8 token counts
 
 
