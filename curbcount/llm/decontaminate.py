@@ -34,24 +34,23 @@ def windows_of(words: list[bytes], window: int = WINDOW) -> list[bytes]:
     return [b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1))]
 
 
-def _blocks(items: DataFrame, window: int, limit: int) -> list[list[tuple[str, list[str]]]]:
-    """Distinct windows with the items that hold them, in blocks of bounded size.
+def _blocks(items: DataFrame, window: int, limit: int) -> Iterator[list[tuple[str, list[str]]]]:
+    """Windows with the items that hold them, in blocks of bounded size; one at least.
 
-    The items are read one partition at a time; a block is what one broadcast carries.
+    The items come to the driver one partition at a time, and no more than a block stays there.
     """
-    blocks, block, held = [], {}, 0
+    block: dict[str, list[str]] = {}
+    held = 0
     for row in items.toLocalIterator():
         for text in set(windows_of(words_of(row["text"]), window)):
-            key = text.decode("latin-1")
             if held > limit:
-                blocks.append(list(block.items()))
+                yield list(block.items())
                 block, held = {}, 0
-            if key not in block:
-                held += len(key) + 64
-            owners = block.setdefault(key, [])
+            owners = block.setdefault(text.decode("latin-1"), [])
+            held += len(text) + 64
             if row["item_id"] is not None:
                 owners.append(str(row["item_id"]))
-    return [*blocks, list(block.items())] if block or not blocks else blocks
+    yield list(block.items())
 
 
 _built: dict[str, ahocorasick.Automaton] = {}
@@ -151,10 +150,12 @@ def find_contamination(
     words; rows with equal or null ids stay apart; without items nothing is hit. A benchmark beyond one
     automaton is scanned for in as many passes, each adding to the row's findings.
     """
-    blocks = _blocks(columns(benchmark, item_id=item_col, text=item_text_col), window, automaton_bytes)
     frame = docs.select(F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("record"), docs[text_col].alias("text"))
-    for k, block in enumerate(blocks):
-        frame = _scan(frame, block, keep_text or k + 1 < len(blocks))
+    waiting = None
+    for block in _blocks(columns(benchmark, item_id=item_col, text=item_text_col), window, automaton_bytes):
+        frame = frame if waiting is None else _scan(frame, waiting, True)
+        waiting = block
+    frame = _scan(frame, waiting, keep_text)
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
     named = frame.withColumns({
         "n_hit": hit, "n_items": F.size("items").cast("bigint"), "items_sha256": F.sha2(F.concat_ws(",", F.array_sort("items")), 256),

@@ -12,6 +12,7 @@ from curbcount.llm.common import documents
 from curbcount.llm.decontaminate import find_contamination
 from curbcount.llm.exact_dedup import exact_groups
 from curbcount.llm.simhash import near_groups
+from curbcount.llm.substrings import remove_repeats
 from curbcount.llm.token_counts import count_tokens
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,22 @@ def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(documents(spark, folder))
 
 
+# ---------------------------------------------------------------- 3 substring dedup
+
+
+@_query(r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS body FROM doc, LATERAL (SELECT unnest(range(1, len(w) - 11)) AS i)),
+first AS (SELECT body, min(doc_id) AS least FROM win GROUP BY body),
+gone AS (SELECT DISTINCT doc_id, i + k AS place FROM win JOIN first USING (body), (SELECT unnest(range(0, 13)) AS k) WHERE least < doc_id),
+word AS (SELECT doc_id, place, w[place] AS body FROM doc, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS place)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(body, ' ' ORDER BY place) AS body FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256 FROM doc LEFT JOIN kept USING (doc_id)""")
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(documents(spark, folder), keep_text=False)
+
+
 # ---------------------------------------------------------------- 6 benchmark decontamination
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
