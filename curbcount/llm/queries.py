@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curbcount.llm.byte_bpe import round_trip
 from curbcount.llm.common import documents
@@ -14,6 +15,7 @@ from curbcount.llm.exact_dedup import exact_groups
 from curbcount.llm.simhash import near_groups
 from curbcount.llm.substrings import remove_repeats
 from curbcount.llm.token_counts import count_tokens
+from curbcount.llm.url_reputation import judge_urls
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -107,6 +109,52 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(documents(spark, folder))
 
 
+# ---------------------------------------------------------------- 10 url filters
+
+RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+_SUFFIX = r"CASE WHEN regexp_matches(host, '(^|\.)(ac|co|com|edu|gov|net|org)\.[a-z][a-z]$') THEN regexp_extract(host, '([^.]*\.[^.]*)$', 1) ELSE regexp_extract(host, '([^.]*)$', 1) END"
+_DOMAIN = r"CASE WHEN contains(suffix, '.') THEN regexp_extract(host, '((?:[^.]*\.)?[^.]*\.[^.]*)$', 1) ELSE regexp_extract(host, '((?:[^.]*\.)?[^.]*)$', 1) END"
+_WORTH = """coalesce(greatest(1.0, least(1000.0, CASE WHEN (sum(n * n * (k / n - up) * (k / n - up)) - sum(n * up * (1 - up))) / nullif(sum(n * (n - 1) * up * (1 - up)), 0) > 0
+  THEN 1 / ((sum(n * n * (k / n - up) * (k / n - up)) - sum(n * up * (1 - up))) / nullif(sum(n * (n - 1) * up * (1 - up)), 0)) - 1 ELSE 1000.0 END)), 1000.0)"""
+
+
+def _level(name: str, source: str) -> str:
+    return f"""
+{name}_s AS (SELECT {_WORTH} AS s FROM {source}),
+{name}_p AS (SELECT *, (k + up * s) / (n + s) AS mean FROM {source}, {name}_s)"""
+
+
+@_query(rf"""
+WITH page AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+label AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS k FROM page JOIN label USING (page_id) WHERE host <> '' GROUP BY host),
+hs AS (SELECT *, {_SUFFIX} AS suffix FROM h),
+hd AS (SELECT *, {_DOMAIN} AS domain FROM hs),
+s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT sum(k) / sum(n) FROM h) AS up FROM hd GROUP BY suffix), {_level('suf', 's0')},
+d0 AS (SELECT c.*, p.mean AS up FROM (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hd GROUP BY ALL) c JOIN suf_p p USING (suffix)), {_level('dom', 'd0')},
+h0 AS (SELECT c.host, c.n, c.k, p.mean AS up FROM hd c JOIN dom_p p USING (domain)), {_level('hos', 'h0')},
+known AS (SELECT host, mean, mean - 2.0 * sqrt(mean * (1 - mean) / (n + s + 1)) AS low FROM hos_p),
+ruled AS (
+  SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule
+  FROM page LEFT JOIN known USING (host))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR coalesce(low > 0.5, false) THEN 'block' ELSE 'allow' END AS verdict,
+       round(mean, 9) AS bad_mean, round(low, 9) AS bad_low
+FROM ruled""")
+def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled outcomes: the page's label says low quality or toxic."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = documents(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), F.coalesce(bad, F.lit(False)).cast("int").alias("bad"))
+    return judge_urls(documents(spark, folder, "pages"), outcomes, RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
