@@ -12,6 +12,7 @@ from curbcount.llm.byte_bpe import round_trip
 from curbcount.llm.common import documents
 from curbcount.llm.decontaminate import find_contamination
 from curbcount.llm.exact_dedup import exact_groups
+from curbcount.llm.html_text import extract_text
 from curbcount.llm.simhash import near_groups
 from curbcount.llm.substrings import remove_repeats
 from curbcount.llm.token_counts import count_tokens
@@ -31,6 +32,14 @@ def _query(sql: str | None = None):
     return add
 
 
+# ---------------------------------------------------------------- 1 HTML extraction
+
+
+@_query()
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(documents(spark, folder, "pages"))
+
+
 # ---------------------------------------------------------------- 2 SimHash near-dedup
 
 
