@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbcount.llm import language_id
 from curbcount.llm.byte_bpe import round_trip
 from curbcount.llm.common import documents
 from curbcount.llm.decontaminate import find_contamination
@@ -64,6 +65,17 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(documents(spark, folder), keep_text=False)
 
 
+# ---------------------------------------------------------------- 4 language id
+
+
+@_query()
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    scored = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs), keep_text=False)
+    fold = language_id.held_out(F.col("record.doc_id"))
+    return scored.select("record.doc_id", fold.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 # ---------------------------------------------------------------- 6 benchmark decontamination
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
