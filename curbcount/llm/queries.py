@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbcount.llm import language_id
+from curbcount.llm import language_id, personal_data
 from curbcount.llm.byte_bpe import round_trip
 from curbcount.llm.common import documents
 from curbcount.llm.decontaminate import find_contamination
@@ -76,6 +76,16 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("record.doc_id", fold.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+# ---------------------------------------------------------------- 5 personal data
+
+
+@_query()
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = personal_data.find_personal(docs, personal_data.fit(docs), redacted=False)
+    return found.select("record.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 # ---------------------------------------------------------------- 6 benchmark decontamination
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -5,8 +5,8 @@ Documents are dealt into slices by a hash. A passage of ``window`` words holds a
 
 1. every slice sends the hashes of its rolling windows of ``block`` words, those at multiples of ``block``
    marked as anchors; a hash that is an anchor somewhere and stands in two slices is active;
-2. hits are extended: every window of ``window`` words about an active hash is compared by 128 bits of
-   its whole content, and the least document id of each content comes back;
+2. hits are extended: every window of ``window`` words about an active hash is compared by 96 bits of a
+   hash of its whole content, and the least document id of each content comes back;
 3. words under a window whose content starts in a document with a smaller id are removed.
 
 What is sent is sorted, distinct per slice and packed, so copies within a slice and frequent passages
@@ -27,9 +27,12 @@ from curbcount.llm.common import columns, pack, texts, unpack
 
 WINDOW = 13
 #: Mean bytes of text in a slice, and rolling windows that one task looks up at once.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 BUCKET_WINDOWS = 6 << 20
 
+#: Bytes of text hashed at once, unless one text is longer.
+STRETCH = 1 << 19
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -49,15 +52,16 @@ _powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2^64."""
-    size = 1 << max(16, n.bit_length())
-    if (base, size) not in _powers:
-        _powers.clear() if len(_powers) > 4 else None
-        both = []
+    """Powers of the base and of its inverse, modulo 2^64. Tables for ordinary stretches are kept."""
+    size = STRETCH + 1
+    if n > size or (base, size) not in _powers:
+        size, both = max(n, size), []
         for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, b, np.uint64)
             steps[0] = 1
             both.append(np.multiply.accumulate(steps))
+        if n > STRETCH + 1:
+            return both[0], both[1]
         _powers[base, size] = both[0], both[1]
     return _powers[base, size]
 
@@ -66,19 +70,35 @@ class Words:
     """The words of some texts: 64-bit hashes under two bases, and the text each belongs to."""
 
     def __init__(self, bodies: list[bytes]):
+        parts, counts, at = [], [], 0
+        while at < len(bodies):
+            stop, held = at + 1, len(bodies[at]) + 1
+            while stop < len(bodies) and held + len(bodies[stop]) < STRETCH:
+                held += len(bodies[stop]) + 1
+                stop += 1
+            hashes, count = self._hashed(bodies[at:stop])
+            parts.append(hashes)
+            counts.append(count)
+            at = stop
+        self.hashes = [np.concatenate([np.zeros(0, np.uint64), *(p[k] for p in parts)]) for k in range(len(_BASES))]
+        count = np.concatenate([np.zeros(0, np.int64), *counts])
+        #: the first word of each text; one more than the texts
+        self.first = np.concatenate([[0], np.cumsum(count)])
+        self.doc = np.repeat(np.arange(len(bodies)), count)
+
+    @staticmethod
+    def _hashed(bodies: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Word hashes under both bases, and the number of words of each text."""
         raw = np.frombuffer(b" ".join([*bodies, b""]), np.uint8)
         inside = np.concatenate([[False], ~_SPACE[raw]])
         starts = np.flatnonzero(inside[1:] & ~inside[:-1])
         ends = np.flatnonzero(inside[:-1] & ~inside[1:])
-        self.hashes = []
+        hashes = []
         for byte, base in zip(_BYTE, _BASES):
             power, inverse = _power(base, len(raw))
             total = np.concatenate([np.zeros(1, np.uint64), np.add.accumulate(byte[raw] * power[: len(raw)])])
-            self.hashes.append(_mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
-        begins = np.cumsum([0, *(len(b) + 1 for b in bodies)])
-        #: the first word of each text; one more than the texts
-        self.first = np.searchsorted(starts, begins)
-        self.doc = np.repeat(np.arange(len(bodies)), np.diff(self.first))
+            hashes.append(_mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)))
+        return hashes, np.diff(np.searchsorted(starts, np.cumsum([0, *(len(b) + 1 for b in bodies)])))
 
     def windows(self, size: int, which: int) -> tuple[np.ndarray, np.ndarray]:
         """(place of the first word, hash) of every run of ``size`` words within a text."""
@@ -122,7 +142,7 @@ class Slice:
         for bucket in range(self.buckets):
             own = slice(self.edges[bucket], self.edges[bucket + 1])
             if own.stop > own.start:
-                low = (self.key[own] & np.uint64(0xFFFFFFFF)).astype(">u4")
+                low = ((self.key[own] >> np.uint64(16)) & np.uint64(0xFFFF)).astype(">u2")
                 high = ((self.key[own] >> np.uint64(32)).astype(np.uint32)).astype(">u4")
                 yield number, bucket, len(low), pack(high), low.tobytes(), np.packbits(self.anchor[own]).tobytes()
 
@@ -136,7 +156,7 @@ class Slice:
         marked[self.at[live[self.place]] + 1] = 1
         seen = np.cumsum(marked)
         at, one = self.words.windows(self.window, 0)
-        _, two = self.words.windows(self.window, 1)
+        two = self.words.windows(self.window, 1)[1] >> np.uint64(32)
         # an active hash may begin at any of the window's first places
         near = seen[np.minimum(at + self.window - self.block + 1, len(seen) - 1)] > seen[at]
         self.full_at, one, two = at[near], one[near], two[near]
@@ -155,7 +175,7 @@ class Slice:
         for bucket in range(self.buckets):
             own = slice(self.full_edges[bucket], self.full_edges[bucket + 1])
             if own.stop > own.start:
-                one, two = (x[own].astype(">u8") for x in self.full)
+                one, two = self.full[0][own].astype(">u8"), self.full[1][own].astype(">u4")
                 yield number, bucket, len(one), pack(one), two.tobytes(), pack(self.least[own].astype(">i8"))
 
     def kept(self, smaller: dict[int, tuple[bytes, bytes]]) -> Iterator[tuple[int, np.ndarray]]:
@@ -190,9 +210,9 @@ def _active(group: pa.Table) -> pa.Table:
     """Which hashes of a bucket are an anchor in one slice and stand in another one."""
     rows, sizes, ends = _entries(group)
     high = np.concatenate([unpack(r["first"], r["n"], ">u4") for r in rows]).astype(np.uint64)
-    low = np.concatenate([np.frombuffer(r["second"], ">u4") for r in rows]).astype(np.uint64)
+    low = np.concatenate([np.frombuffer(r["second"], ">u2") for r in rows]).astype(np.uint64)
     anchor = np.concatenate([np.unpackbits(np.frombuffer(r["third"], np.uint8), count=r["n"]) for r in rows])
-    key = high << np.uint64(32) | low
+    key = high << np.uint64(16) | low
     order = np.argsort(key, kind="stable")
     key = key[order]
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -209,7 +229,7 @@ def _least(group: pa.Table) -> pa.Table:
     """For each slice's windows the least id of their content, where it is smaller than the slice's own."""
     rows, sizes, ends = _entries(group)
     one = np.concatenate([unpack(r["first"], r["n"], ">u8") for r in rows]).astype(np.uint64)
-    two = np.concatenate([np.frombuffer(r["second"], ">u8") for r in rows]).astype(np.uint64)
+    two = np.concatenate([np.frombuffer(r["second"], ">u4") for r in rows]).astype(np.uint64)
     ids = np.concatenate([unpack(r["third"], r["n"], ">i8") for r in rows]).astype(np.int64)
     order = np.lexsort((two, one))
     a, b = one[order], two[order]
