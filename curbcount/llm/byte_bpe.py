@@ -234,10 +234,11 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """``docs`` without the text, with its token ids as ``ids_col``, which replaces a column of that name."""
-    coded = _coded(docs, path, pattern, text_col, True)
-    others = [F.col("record").getField(c).alias(c) for c in docs.columns if c not in (text_col, ids_col)]
-    return coded.select(*others, F.col("ids").alias(ids_col))
+    """``docs`` without the text, with n_tokens, ids_sha256, decoded_sha256 (of what the ids decode to) and
+    the ids as ``ids_col``; columns of these names are replaced."""
+    made = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    others = [F.col("record").getField(c).alias(c) for c in docs.columns if c not in (text_col, ids_col, *made)]
+    return _coded(docs, path, pattern, text_col, True).select(*others, *made, F.col("ids").alias(ids_col))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", text_col: str = "text") -> DataFrame:
