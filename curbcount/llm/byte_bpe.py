@@ -18,36 +18,47 @@ from pyspark.sql import functions as F
 from curbcount.llm.common import columns, slices
 
 SLICE_BYTES = 4 << 20
-#: Encoded pieces of text known to a worker beyond which it starts afresh.
-KNOWN_PIECES = 400_000
+#: Encoded words a worker knows in each of two generations.
+KNOWN_WORDS = 500_000
+#: Words of one merging query.
+WORDS = 1 << 15
 #: Rows of one decoding query.
 DECODE_TOKENS = 1 << 19
 #: Longer words are encoded in parts of so many bytes, which are then joined exactly.
 PART_BYTES = 192
 
-#: Token-position rows of words without merges left are ``done``. Elsewhere the leftmost pair of the least
-#: rank in the word becomes one row. ``pair`` is a row's id and the next one's, ``m`` the token they merge to.
+#: Token-position rows (``spot``: the word's number and the byte its token begins at) of words without
+#: merges left are ``done``. Elsewhere the leftmost pair of the least rank in the word becomes one row.
+#: ``pair`` is a row's id and the next one's, ``m`` the token they merge to.
 _MERGE = """
-WITH RECURSIVE state(w, pos, id, m, done) AS (
-  SELECT w, pos, id, m, false
-  FROM (SELECT w, pos, id, id::BIGINT * 1048576 + lead(id) OVER (PARTITION BY w ORDER BY pos) AS pair FROM word_bytes)
+WITH RECURSIVE state(spot, id, m, done) AS (
+  SELECT spot, id, m, false
+  FROM (SELECT spot, id, CASE WHEN lead(spot) OVER o >> 16 = spot >> 16 THEN id::BIGINT * 1048576 + lead(id) OVER o END AS pair
+        FROM word_bytes WINDOW o AS (ORDER BY spot))
        LEFT JOIN merges USING (pair)
   UNION ALL
-  SELECT w, pos, token, merges.m, best IS NULL
+  SELECT spot, token, merges.m, best IS NULL
   FROM (
-    SELECT w, pos, best, CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE id END AS token,
+    SELECT spot, best, CASE WHEN pos = best & 65535 THEN (best >> 16)::INTEGER ELSE id END AS token,
            CASE WHEN best IS NOT NULL THEN token::BIGINT * 1048576 + CASE
-             WHEN pos = best & 4294967295 THEN id_after_next
-             WHEN next_pos = best & 4294967295 THEN best >> 32
+             WHEN pos = best & 65535 THEN after_id
+             WHEN next_pos = best & 65535 THEN best >> 16
              ELSE next_id END END AS pair
     FROM (
-      SELECT w, pos, id, min(m::BIGINT << 32 | pos) OVER (PARTITION BY w) AS best, lead(id) OVER o AS next_id,
-             lead(id, 2) OVER o AS id_after_next, lead(pos) OVER o AS next_pos, lag(pos) OVER o AS last_pos
-      FROM state WHERE NOT done WINDOW o AS (PARTITION BY w ORDER BY pos))
-    WHERE best IS NULL OR last_pos IS NULL OR last_pos <> best & 4294967295) AS step
+      SELECT spot, spot & 65535 AS pos, id, best,
+             CASE WHEN next >> 16 = spot >> 16 THEN next_id END AS next_id,
+             CASE WHEN next >> 16 = spot >> 16 THEN next & 65535 END AS next_pos,
+             CASE WHEN after >> 16 = spot >> 16 THEN after_id END AS after_id,
+             CASE WHEN last >> 16 = spot >> 16 THEN last & 65535 END AS last_pos
+      FROM (SELECT spot, id, lead(spot) OVER o AS next, lead(id) OVER o AS next_id, lead(spot, 2) OVER o AS after,
+                   lead(id, 2) OVER o AS after_id, lag(spot) OVER o AS last
+            FROM state WHERE NOT done WINDOW o AS (ORDER BY spot))
+           LEFT JOIN (SELECT spot >> 16 AS word, min((m::BIGINT << 16) | (spot & 65535)) AS best
+                      FROM state WHERE NOT done AND m IS NOT NULL GROUP BY word) ON word = spot >> 16)
+    WHERE best IS NULL OR last_pos IS NULL OR last_pos <> best & 65535) AS step
     LEFT JOIN merges USING (pair)
 )
-SELECT w, list(id ORDER BY pos) AS ids FROM state WHERE done GROUP BY w ORDER BY w"""
+SELECT spot, id FROM state WHERE done ORDER BY spot"""
 
 _DECODE = """
 SELECT doc, string_agg(piece, '' ORDER BY pos) AS chars
@@ -63,6 +74,7 @@ class ByteBpe:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.words = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self._byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         left, merged = [], []
         for token, rank in self.ranks.items():
@@ -88,18 +100,19 @@ class ByteBpe:
         finally:
             self.db.unregister(name)
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of every (non-empty) word, by the recursive query."""
-        out: list[list[int]] = []
-        for at in range(0, len(words), 1 << 15):
-            some = words[at : at + (1 << 15)]
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of every (non-empty) word as little-endian bytes, by the recursive query."""
+        out: list[bytes] = []
+        for at in range(0, len(words), WORDS):
+            some = words[at : at + WORDS]
             size = np.array([len(w) for w in some])
             start = np.repeat(np.cumsum(size) - size, size)
-            rows = pa.table({
-                "w": np.repeat(np.arange(len(some), dtype=np.int32), size), "pos": (np.arange(len(start)) - start).astype(np.int32),
-                "id": self._byte[np.frombuffer(b"".join(some), np.uint8)],
-            })
-            out += self._ask(_MERGE, "word_bytes", rows)["ids"].to_pylist() if some else []
+            word = np.repeat(np.arange(len(some), dtype=np.int64), size)
+            rows = pa.table({"spot": word << 16 | np.arange(len(start)) - start, "id": self._byte[np.frombuffer(b"".join(some), np.uint8)]})
+            found = self._ask(_MERGE, "word_bytes", rows)
+            ends = np.searchsorted(found["spot"].to_numpy() >> 16, np.arange(len(some) + 1)).tolist()
+            ids = found["id"].to_numpy().astype("<u4").tobytes()
+            out += [ids[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:])]
         return out
 
     def _bytes_of(self, ids: list[int]) -> bytes:
@@ -111,21 +124,21 @@ class ByteBpe:
             self._pieces = {rank: token for token, rank in self.ranks.items()}
         return self._pieces
 
-    def _join(self, parts: list[list[int]]) -> list[int]:
+    def _join(self, encoded: list[bytes]) -> list[int]:
         """One long word from its encoded parts.
 
         A token sequence is the word's encoding if every two neighbours are the encoding of their bytes,
         so only the tokens about a seam are encoded again, in a growing stretch, until both its ends fit.
         """
-        whole = parts[0]
-        for right in parts[1:]:
+        whole, *rest = (np.frombuffer(x, "<u4").tolist() for x in encoded)
+        for right in rest:
             reach = 4
             while True:
                 a, b = max(0, len(whole) - reach), min(len(right), reach)
-                middle = self.merge([self._bytes_of(whole[a:] + right[:b])])[0]
+                middle = np.frombuffer(self.merge([self._bytes_of(whole[a:] + right[:b])])[0], "<u4").tolist()
                 ends = ([whole[a - 1], middle[0]] if a else None, [middle[-1], right[b]] if b < len(right) else None)
                 pairs = [p for p in ends if p]
-                if all(p == q for p, q in zip(pairs, self.merge([self._bytes_of(p) for p in pairs]))):
+                if all(np.array(p, "<u4").tobytes() == q for p, q in zip(pairs, self.merge([self._bytes_of(p) for p in pairs]))):
                     whole = whole[:a] + middle + right[b:]
                     break
                 reach *= 2
@@ -141,8 +154,7 @@ class ByteBpe:
                 out[word] = rank.to_bytes(4, "little")
             else:
                 (long if len(raw) > PART_BYTES else new).append((word, raw))
-        for (word, _), ids in zip(new, self.merge([raw for _, raw in new])):
-            out[word] = np.array(ids, "<u4").tobytes()
+        out.update(zip((word for word, _ in new), self.merge([raw for _, raw in new])))
         for word, raw in long:
             parts = self.merge([raw[i : i + PART_BYTES] for i in range(0, len(raw), PART_BYTES)])
             out[word] = np.array(self._join(parts), "<u4").tobytes()
@@ -154,13 +166,20 @@ class ByteBpe:
         A space between two visible characters starts a match whatever stands before it, so texts are
         first cut there, and each distinct piece is matched and encoded once.
         """
-        if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
         cut = [_cut(t) for t in texts]
-        matches = {p: self.words.findall(p) for p in {p for own in cut for p in own if p not in self.known}}
-        coded = self.encode_words({w for own in matches.values() for w in own})
-        self.known.update((p, b"".join(map(coded.__getitem__, own))) for p, own in matches.items())
-        return [b"".join(map(self.known.__getitem__, own)) for own in cut]
+        matches = {p: self.words.findall(p) for p in {p for own in cut for p in own}}
+        self._learn({w for own in matches.values() for w in own})
+        coded = {p: b"".join(map(self.known.__getitem__, own)) for p, own in matches.items()}
+        return [b"".join(map(coded.__getitem__, own)) for own in cut]
+
+    def _learn(self, words: set[str]) -> None:
+        """Has all the words in ``known``. Words that come again outlive a change of generation."""
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.older = {}, self.known
+        missing = words.difference(self.known)
+        again = {w: self.older[w] for w in missing if w in self.older}
+        self.known.update(again)
+        self.known.update(self.encode_words(missing.difference(again)))
 
     def decode(self, ids: list[bytes] | list[np.ndarray]) -> list[bytes]:
         """The bytes of every id sequence, by ordered aggregation over its rows. Unknown ids are an error."""
