@@ -23,7 +23,8 @@ SEASONS = (
     ("daily", 1.0, 4, 2.0, 1.0),
 )
 
-MAX_ROUNDS = 50
+#: Plain rounds before the noise variance is bracketed.
+PLAIN_ROUNDS = 50
 TOLERANCE = 1e-6
 SLOPE_TOLERANCE = 1e-9
 LEAST_VARIANCE = 1e-9
@@ -68,7 +69,7 @@ def _sparse_minimum(quad: np.ndarray, lin: np.ndarray, weight: float, x: np.ndar
         return v @ (quad @ v) / 2.0 - lin @ v + weight * np.abs(v).sum()
 
     signs = np.sign(x)
-    for _ in range(20 * x.size):
+    while True:  # every step lowers the cost, so no set of signs comes twice
         slope = quad @ x - lin
         used = np.flatnonzero(signs)
         if not used.size or np.abs(slope[used] + weight * signs[used]).max() <= SLOPE_TOLERANCE:
@@ -108,8 +109,10 @@ def _most_probable(gram, moment, square, rows, n_knots) -> np.ndarray:
     ridge = np.diag(ridge)
     inner, mixed, bends = gram[:m, :m], gram[:m, m:], gram[m:, m:]
     sides = np.concatenate([moment[:m, None], mixed], axis=1)
-    theta, variance = np.zeros(moment.size), 0.01
-    for _ in range(MAX_ROUNDS):
+    theta = np.zeros(moment.size)
+
+    def next_variance(variance: float) -> float:
+        """Fits the parameters for a noise variance; the variance that suits their residual."""
         solved = np.linalg.solve(inner + variance * ridge, sides)
         if n_knots:
             quad, lin = bends - mixed.T @ solved[:, 1:], moment[m:] - mixed.T @ solved[:, 0]
@@ -117,9 +120,26 @@ def _most_probable(gram, moment, square, rows, n_knots) -> np.ndarray:
         theta[:m] = solved[:, 0] - solved[:, 1:] @ theta[m:]
         residual = max(square - 2.0 * theta @ moment + theta @ gram @ theta, 0.0)
         root = np.sqrt(rows**2 + 4.0 * residual / NOISE_SCALE**2)
-        previous, variance = variance, max(2.0 * residual / (rows + root), LEAST_VARIANCE)
+        return max(2.0 * residual / (rows + root), LEAST_VARIANCE)
+
+    variance = 0.01
+    for _ in range(PLAIN_ROUNDS):
+        previous, variance = variance, next_variance(variance)
         if abs(variance - previous) <= TOLERANCE * previous:
-            break
+            return theta
+    # A larger variance never leaves a smaller residual, so the rounds move one way, and the fixed
+    # point they near lies between here and where a step would turn back.
+    low, high = variance, variance
+    if next_variance(variance) > variance:
+        while next_variance(high) > high:
+            high *= 2.0
+    else:
+        while low > LEAST_VARIANCE and next_variance(low) < low:
+            low = max(low / 2.0, LEAST_VARIANCE)
+    while high - low > TOLERANCE * high:
+        middle = (low + high) / 2.0
+        low, high = (middle, high) if next_variance(middle) > middle else (low, middle)
+    next_variance((low + high) / 2.0)
     return theta
 
 

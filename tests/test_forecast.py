@@ -201,3 +201,19 @@ def test_line_model_and_seasonal_naive(make):
     naive = forecast.seasonal_naive(frame, (1,)).filter("SegmentID = 2").first()
     assert naive["Timestamp"] == END + timedelta(days=1) and naive["prediction_vol"] == 3.0
     assert naive["max_history_ds"] - naive["min_history_ds"] == timedelta(days=1)
+
+
+def test_noise_variance_reaches_its_fixed_point(monkeypatch):
+    """Bracketing after a few plain rounds ends where very many plain rounds end."""
+    from curbcount.operators import additive
+
+    rng = np.random.default_rng(3)
+    for _ in range(10):
+        days = np.sort(rng.choice(700, 60, replace=False)) / 96.0
+        y = np.abs(rng.normal(20, 15, 60)).round()
+        stats = (np.ones(60), y, y * y, y, y)
+        at = days[-1] + np.arange(1, 5) / 96.0
+        monkeypatch.setattr(additive, "PLAIN_ROUNDS", 20_000)
+        slow = additive.fit_predict(days, *stats, at)
+        monkeypatch.setattr(additive, "PLAIN_ROUNDS", 2)
+        assert np.allclose(additive.fit_predict(days, *stats, at), slow, atol=2e-2)
