@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curbcount import schemas
@@ -108,22 +108,41 @@ def running_ticks(
     order: str,
     ts: str = "Timestamp",
     block_rows: int = 1_000_000,
+    group_blocks: int = 1_000_000,
 ) -> DataFrame:
     """Adds ``tick``: the greatest event time so far in the order of column ``order``.
 
-    A row that is older than an earlier one belongs to the tick already reached. The running
-    maximum is computed in blocks of the order column: inside each block by a window, across
-    blocks from one row per block, so no task sees more than a block or the block list.
+    A row that is older than an earlier one belongs to the tick already reached. A row without order has
+    no place in it: it stays, with a null tick. The running maximum is computed in blocks of the order
+    column, carried from block to block in groups of blocks, and so on: three levels hold any 64-bit
+    order, dense or sparse, and no task sees more than ``block_rows`` distinct places of the order or
+    ``group_blocks`` (two at least) of a level.
     """
-    block = F.floor(F.col(order) / F.lit(block_rows)).cast("bigint")
-    blocked = rows.withColumn("__block", block)
-    tops = materialise(blocked.groupBy("__block").agg(F.max(ts).alias("__top")), "block-tops")
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tops.select("__block", F.max("__top").over(before).alias("__carry"))
+    placed = rows.filter(F.col(order).isNotNull()).withColumn("__block", _group(F.col(order), block_rows))
+    tops = materialise(placed.groupBy("__block").agg(F.max(ts).alias("__top")), "block-tops")
     inside = Window.partitionBy("__block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        blocked.withColumn("__run", F.max(ts).over(inside))
-        .join(carried, "__block")
+    ticked = (
+        placed.withColumn("__run", F.max(ts).over(inside))
+        .join(_carried(tops, max(2, group_blocks)), "__block")
         .withColumn("tick", F.greatest("__run", "__carry"))
-        .drop("__block", "__run", "__carry")
+        .select(*rows.columns, "tick")
     )
+    missing = rows.filter(F.col(order).isNull()).withColumn("tick", F.lit(None).cast(ticked.schema["tick"].dataType))
+    return ticked.unionByName(missing)
+
+
+def _group(place: Column, size: int) -> Column:
+    return F.floor(place / F.lit(size)).cast("bigint")
+
+
+def _carried(tops: DataFrame, size: int) -> DataFrame:
+    """(__block, __carry): the greatest ``__top`` of all blocks before each block."""
+    if tops.agg(F.count(F.lit(1)) <= F.lit(size)).first()[0]:
+        before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+        return tops.select("__block", F.max("__top").over(before).alias("__carry"))
+    grouped = tops.withColumn("__group", _group(F.col("__block"), size))
+    above = materialise(grouped.groupBy("__group").agg(F.max("__top").alias("__top")), "block-tops")
+    carry = _carried(above.withColumnRenamed("__group", "__block"), size).select(F.col("__block").alias("__group"), F.col("__carry").alias("__above"))
+    within = Window.partitionBy("__group").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    own = grouped.withColumn("__own", F.max("__top").over(within)).join(carry, "__group")
+    return own.select("__block", F.greatest("__own", "__above").alias("__carry"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from curbcount import schemas
 from curbcount.functions.event_time import from_parts
 from curbcount.functions.geo import latitude, longitude, point_x, point_y
+from curbcount.session import materialise, scratch
 from curbcount.sources.tables import write_by_borough, write_csv
 
 
@@ -46,12 +47,24 @@ def raw_captures(raw: DataFrame, strict: bool = True) -> DataFrame:
     return raw.select("SegmentID", "Direction", "Vol", stamp.alias("Timestamp"), "Boro")
 
 
-def split_history(
+PARTS = ("history", "live", "untimed")
+
+
+def with_part(
     captures: DataFrame, cutoff: str = schemas.HISTORY_CUTOFF, ts: str = "Timestamp"
-) -> tuple[DataFrame, DataFrame]:
-    """History up to and including ``cutoff``, and live rows after it."""
+) -> DataFrame:
+    """Adds ``part``: history up to and including ``cutoff``, live after it, untimed without a time."""
     bound = F.lit(cutoff).cast("timestamp_ntz")
-    return captures.filter(F.col(ts) <= bound), captures.filter(F.col(ts) > bound)
+    label = F.when(F.col(ts) <= bound, "history").when(F.col(ts) > bound, "live").otherwise("untimed")
+    return captures.withColumn("part", label)
+
+
+def split_history(
+    captures: DataFrame, cutoff: str = schemas.HISTORY_CUTOFF, ts: str = "Timestamp"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three parts of :func:`with_part` as frames; together they hold every row once."""
+    parts = with_part(captures, cutoff, ts)
+    return tuple(parts.filter(F.col("part") == name).drop("part") for name in PARTS)
 
 
 def boroughs(df: DataFrame) -> DataFrame:
@@ -59,10 +72,20 @@ def boroughs(df: DataFrame) -> DataFrame:
 
 
 def prepare(raw: DataFrame, root: str, cutoff: str = schemas.HISTORY_CUTOFF) -> None:
-    """Write the dimension (with header), the history and the live captures (without)."""
-    usable = exclude_segments(raw)
+    """Write the dimension (with header), the history and the live captures (without).
+
+    Rows whose date parts make no time go to ``untimed``, so the three capture folders hold every usable
+    row once. The raw rows are parsed once, into a table that the outputs share.
+    """
+    spark = raw.sparkSession
+    with scratch(spark):
+        _prepare(materialise(exclude_segments(raw), "usable"), root, cutoff)
+
+
+def _prepare(usable: DataFrame, root: str, cutoff: str) -> None:
     order = ["SegmentID", "Boro", F.col("street").alias("Street"), "fromSt", "toSt", "Long", "Lat"]
     write_csv(segment_dimension(usable).select(*order), f"{root}/segment", header=True)
-    history, live = split_history(raw_captures(usable), cutoff)
+    history, live, untimed = split_history(raw_captures(usable, strict=False), cutoff)
     write_csv(history.drop("Boro"), f"{root}/capture")
+    write_csv(untimed.drop("Timestamp"), f"{root}/untimed")
     write_by_borough(live, f"{root}/live")

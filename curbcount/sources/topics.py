@@ -36,8 +36,17 @@ def encode(df: DataFrame, time_format: str = SECOND_FORMAT) -> DataFrame:
 
     Every timestamp column, found by type, becomes text; null fields are left out.
     """
-    stamped = {c: format_event_time(c, time_format) for c in schemas.timestamp_columns(df.schema)}
-    return df.withColumns(stamped).select(F.to_json(F.struct("*")).alias("value"))
+    return df.select(encoded(None, df.schema, time_format).alias("value"))
+
+
+def encoded(struct: str | None, layout: StructType, time_format: str = SECOND_FORMAT) -> Column:
+    """The JSON text of a record: of the columns of ``layout``, or of the struct column that holds them."""
+    times = set(schemas.timestamp_columns(layout))
+    fields = []
+    for name in layout.names:
+        value = F.col(struct)[name] if struct else F.col(name)
+        fields.append((format_event_time(value, time_format) if name in times else value).alias(name))
+    return F.to_json(F.struct(*fields))
 
 
 def decode(df: DataFrame, schema: StructType | list[str] | str) -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from curbcount import schemas
 from curbcount.functions.event_time import MINUTE_FORMAT, tick_floor
-from curbcount.sources.topics import Topic, append, encode
+from curbcount.session import new_path, scratch
+from curbcount.sources.topics import Topic, append, encoded
 
 DEFAULT_SLICE_SECONDS = 24 * 3600
-MAX_SLICES = 1000
+SLICE = "slice"
 
 
 def with_tick(df: DataFrame, ts: str = "Timestamp", step_seconds: int = schemas.STEP_SECONDS) -> DataFrame:
@@ -34,20 +35,25 @@ def write_replay_log(
 
     The file stream source takes files by modification time, so later slices are read later.
     A stream whose watermark delay is at least ``slice_seconds`` then drops nothing, however
-    the files of one slice fall into micro-batches. Each slice is one distributed job over a
-    pushed-down time range, holds all boroughs, and can be repeated: it replaces itself.
-    Returns the number of slices.
+    the files of one slice fall into micro-batches. The source is read once, into a staging table with a
+    folder per slice; each slice of the log is then copied from its own folder, and can be repeated: it
+    replaces itself. Slices without rows are left out, so a gap costs nothing, and their number has no
+    limit. Rows without event time belong to no slice; they go to ``<path>-untimed``, in the same form.
+    Returns the number of slices from the first to the last.
     """
-    ends = captures.agg(F.min(tick_floor(ts, slice_seconds)).alias("lo"), F.max(ts).alias("hi")).first()
-    if ends["lo"] is None:
-        return 0
-    count = int((ends["hi"] - ends["lo"]).total_seconds() // slice_seconds) + 1
-    if count > MAX_SLICES:
-        raise ValueError(f"{count} slices; use a longer slice_seconds")
-    for number in range(count):
-        lower = F.lit(ends["lo"]) + F.make_dt_interval(secs=F.lit(number * slice_seconds))
-        upper = F.lit(ends["lo"]) + F.make_dt_interval(secs=F.lit((number + 1) * slice_seconds))
-        part = captures.filter((F.col(ts) >= lower) & (F.col(ts) < upper))
-        records = encode(part, time_format).hint("rebalance")
-        records.write.mode("overwrite").text(f"{path}/slice={number:06d}")
-    return count
+    spark = captures.sparkSession
+    first = captures.agg(F.min(tick_floor(ts, slice_seconds)).alias("lo"))
+    number = F.floor(F.timestamp_diff("SECOND", first.scalar(), F.col(ts)) / F.lit(slice_seconds)).cast("bigint")
+    with scratch(spark):
+        staging = new_path(spark, "replay")
+        staged = captures.select(number.alias(SLICE), F.struct(*captures.columns).alias("record"))
+        records = staged.select(SLICE, encoded("record", captures.schema, time_format).alias("value"))
+        records.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(staging)
+        stored = spark.read.schema(f"value STRING, {SLICE} BIGINT").parquet(staging)
+        untimed = stored.filter(F.col(SLICE).isNull()).select("value")
+        if not untimed.isEmpty():
+            untimed.write.mode("overwrite").text(f"{path}-untimed")
+        numbers = [r[0] for r in stored.filter(F.col(SLICE).isNotNull()).select(SLICE).distinct().orderBy(SLICE).collect()]
+        for n in numbers:
+            stored.filter(F.col(SLICE) == n).select("value").write.mode("overwrite").text(f"{path}/{SLICE}={n:06d}")
+    return numbers[-1] + 1 if numbers else 0

@@ -45,10 +45,12 @@ def test_dimension(table):
 
 def test_split_is_disjoint_and_whole(table):
     captures = preparation.raw_captures(table)
-    history, live = preparation.split_history(captures)
+    history, live, untimed = preparation.split_history(captures)
     assert history.agg(F.max("Timestamp")).first()[0] == at("2017-06-20 00:00")
     assert live.agg(F.min("Timestamp")).first()[0] == at("2017-06-20 00:15")
-    assert rows(history.unionByName(live)) == rows(captures)
+    assert rows(history.unionByName(live)) == rows(captures) and untimed.count() == 0
+    none = captures.withColumn("Timestamp", F.lit(None).cast("timestamp_ntz"))
+    assert [part.count() for part in preparation.split_history(captures.unionByName(none))] == [history.count(), live.count(), captures.count()]
 
 
 def test_boroughs_and_stack(table):

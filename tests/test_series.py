@@ -60,3 +60,13 @@ def test_running_ticks_take_late_rows_along(make, block_rows):
     got = [r["tick"] for r in series.running_ticks(frame, "seq", block_rows=block_rows).orderBy("seq").collect()]
     assert got == [END + timedelta(minutes=m) for m in (0, 0, 15, 15, 15, 30, 30, 30, 45, 45, 60)]
     assert frame.agg(F.count("*")).first()[0] == len(minutes)
+
+
+def test_running_ticks_keep_rows_without_order_and_sparse_orders(make):
+    places = [None, 5, 2**40, -(2**50), 2**62, None, 7, 2**62 - 1]
+    frame = make([(p, END + timedelta(minutes=n)) for n, p in enumerate(places)], "seq BIGINT, Timestamp TIMESTAMP_NTZ")
+    for sizes in ((1_000_000, 1_000_000), (2**30, 2_000), (2**56, 3)):
+        got = series.running_ticks(frame, "seq", "Timestamp", *sizes).collect()
+        assert len(got) == len(places) and all(r["tick"] is None for r in got if r["seq"] is None)
+        placed = sorted((r for r in got if r["seq"] is not None), key=lambda r: r["seq"])
+        assert [r["tick"] for r in placed] == [max(x["Timestamp"] for x in placed[: n + 1]) for n in range(len(placed))]
