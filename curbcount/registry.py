@@ -291,15 +291,55 @@ def timestamp_from_parts(spark, folder):
 SELECT CASE WHEN Timestamp <= TIMESTAMP '{SPLIT_AT}' THEN 'history' ELSE 'live' END AS part,
        count(*) AS captures, CAST(sum(Vol) AS BIGINT) AS total_vol FROM capture GROUP BY 1""")
 def history_live_split(spark, folder):
-    history, live = preparation.split_history(st.captures(spark, folder), SPLIT_AT)
-    both = preparation.stack([
-        history.withColumn("part", F.lit("history")), live.withColumn("part", F.lit("live")),
-    ])
-    return both.groupBy("part").agg(
-        F.count(F.lit(1)).alias("captures"), F.sum("Vol").alias("total_vol")
+    return _part_counts(st.captures(spark, folder))
+
+
+def _part_counts(captures: DataFrame) -> DataFrame:
+    labelled = preparation.with_part(captures, SPLIT_AT)
+    return labelled.groupBy("part").agg(F.count(F.lit(1)).alias("captures"), F.sum("Vol").alias("total_vol"))
+
+
+# Every seventh event without a time, every eleventh without an id.
+_GAPPED = """gapped AS (
+  SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN event_id END AS place, user_id AS SegmentID, event_type AS Direction,
+         CAST(floor(value) AS INTEGER) AS Vol, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts FROM events)"""
+
+
+def _gapped(spark: SparkSession, folder: str) -> DataFrame:
+    rows = st.events(spark, folder)
+    return rows.select(
+        "event_id", F.when(F.pmod("event_id", F.lit(11)) != 0, F.col("event_id")).alias("place"),
+        F.col("user_id").alias("SegmentID"), F.col("event_type").alias("Direction"), F.floor("value").cast("int").alias("Vol"),
+        F.when(F.pmod("event_id", F.lit(7)) != 0, F.col("ts")).alias("ts"),
     )
 
 
+@_query(_with(_GAPPED) + f"""
+SELECT CASE WHEN ts IS NULL THEN 'untimed' WHEN ts <= TIMESTAMP '{SPLIT_AT}' THEN 'history' ELSE 'live' END AS part,
+       count(*) AS captures, CAST(sum(Vol) AS BIGINT) AS total_vol FROM gapped GROUP BY 1""")
+def split_balance(spark, folder):
+    """No row is lost in the split: those without a time are a part of their own."""
+    return _part_counts(_gapped(spark, folder).withColumnRenamed("ts", "Timestamp"))
+
+
+@_query(_with(_GAPPED) + "SELECT 'log' AS part, count(ts) AS records FROM gapped UNION ALL SELECT 'untimed', count(*) - count(ts) FROM gapped")
+def replay_balance(spark, folder):
+    """Rows of the replay log and rows set aside: together all rows."""
+    root = new_path(spark, "replay-balance")
+    rows = _gapped(spark, folder).select("SegmentID", "Direction", "Vol", F.col("ts").alias("Timestamp"))
+    replay.write_replay_log(rows, f"{root}/log", slice_seconds=SLICE_DAYS * 86_400)
+    parts = [spark.read.text(f"{root}/log{end}").select(F.lit(part).alias("part")) for part, end in (("log", ""), ("untimed", "-untimed"))]
+    return preparation.stack(parts).groupBy("part").agg(F.count(F.lit(1)).alias("records"))
+
+
+@_query(_with(_GAPPED) + """
+SELECT event_id, place, ts, max(ts) OVER (ORDER BY place ROWS UNBOUNDED PRECEDING) AS tick FROM gapped WHERE place IS NOT NULL
+UNION ALL SELECT event_id, place, ts, NULL FROM gapped WHERE place IS NULL""")
+def ticks_balance(spark, folder):
+    """Rows without order stay, without a tick; small blocks carry over several levels."""
+    return series.running_ticks(_gapped(spark, folder).select("event_id", "place", "ts"), "place", ts="ts", block_rows=20, group_blocks=20)
+
+
 @_query(_with(_CAPTURE) + "SELECT * FROM capture WHERE SegmentID NOT IN (7, 46)")
 def exclude_segments(spark, folder):
     return preparation.exclude_segments(st.captures(spark, folder), BAD_SEGMENTS)
@@ -348,19 +388,28 @@ def wkt_points(spark, folder):
 
 
 def _projection_sql(points: str) -> str:
-    """Columns Long and Lat from x and y in feet, as SQL over the view ``points``."""
-    cone = geo.ConformalCone()
+    """Columns Long and Lat from x and y in feet, as SQL over the view ``points``.
+
+    The zone (EPSG 2263) is stated here once more, and its constants are derived in SQL, so that a wrong
+    value in the code under test is found.
+    """
     phi = "pi() / 2 - 2 * atan(t)"
-    for _ in range(geo.LATITUDE_STEPS):
-        phi = f"pi() / 2 - 2 * atan(t * exp({-cone.ecc!r} * atanh({cone.ecc!r} * sin({phi}))))"
-    return f"""planar AS (
-  SELECT *, x * {geo.SURVEY_FOOT!r}::DOUBLE - {geo.FALSE_EASTING!r} AS east,
-         {cone.origin_radius + geo.FALSE_NORTHING!r}::DOUBLE - y * {geo.SURVEY_FOOT!r}::DOUBLE AS south FROM {points}),
-polar AS (
-  SELECT *, pow(sqrt(east * east + south * south) / {cone.radius!r}::DOUBLE, {1 / cone.n!r}::DOUBLE) AS t FROM planar),
+    for _ in range(5):
+        phi = f"pi() / 2 - 2 * atan(t * pow((1 - e * sin({phi})) / (1 + e * sin({phi})), e / 2))"
+    scale = "cos(radians({0})) / sqrt(1 - e * e * sin(radians({0})) * sin(radians({0})))"
+    half = "tan(pi() / 4 - radians({0}) / 2) / pow((1 - e * sin(radians({0}))) / (1 + e * sin(radians({0}))), e / 2)"
+    return f"""ellipsoid AS (SELECT sqrt(2 / 298.257222101 - 1 / (298.257222101 * 298.257222101)) AS e, 6378137.0::DOUBLE AS a),
+zone AS (
+  SELECT e, a, {scale.format("(40 + 40 / 60.0)")} AS m1, {scale.format("(41 + 2 / 60.0)")} AS m2, {half.format("(40 + 40 / 60.0)")} AS t1,
+         {half.format("(41 + 2 / 60.0)")} AS t2, {half.format("(40 + 10 / 60.0)")} AS t0 FROM ellipsoid),
+cone AS (SELECT *, ln(m1 / m2) / ln(t1 / t2) AS n FROM zone),
+radii AS (SELECT *, a * m1 / (n * pow(t1, n)) AS radius FROM cone),
+planar AS (
+  SELECT p.*, e, n, radius, x * (1200.0::DOUBLE / 3937) - 300000 AS east,
+         radius * pow(t0, n) - y * (1200.0::DOUBLE / 3937) AS south FROM {points} p, radii),
+polar AS (SELECT *, pow(sqrt(east * east + south * south) / radius, 1 / n) AS t FROM planar),
 projected AS (
-  SELECT *, round(degrees(atan2(east, south) / {cone.n!r}::DOUBLE) + {geo.ORIGIN_LONG!r}, 6) AS Long,
-         round(degrees({phi}), 6) AS Lat FROM polar)"""
+  SELECT *, round(degrees(atan2(east, south) / n) - 74, 6) AS Long, round(degrees({phi}), 6) AS Lat FROM polar)"""
 
 
 @_query("""WITH points AS (
@@ -392,12 +441,35 @@ SELECT SegmentID, Direction, Vol, make_timestamp(Yr, M, D, HH, MM, 0.0) AS Times
 WHERE make_timestamp(Yr, M, D, HH, MM, 0.0) > TIMESTAMP '{SPLIT_AT}'""")
 def boro_files(spark, folder):
     """Live captures written as one CSV folder per borough and read back together."""
-    _, live = preparation.split_history(preparation.raw_captures(st.raw(spark, folder)), SPLIT_AT)
+    _, live, _ = preparation.split_history(preparation.raw_captures(st.raw(spark, folder)), SPLIT_AT)
     root = new_path(spark, "boro-files")
     tables.write_by_borough(live, root)
     return tables.read_csv(spark, root, f"{st.CAPTURE}, Boro STRING")
 
 
+@_query(_with(_RAW) + f""", usable AS (
+  SELECT *, make_timestamp(Yr, M, D, HH, MM, 0.0) AS ts FROM raw WHERE SegmentID <> {schemas.EXCLUDED_SEGMENTS[0]})
+SELECT 'capture' AS part, count(*) AS n, CAST(sum(Vol) AS BIGINT) AS total FROM usable WHERE ts <= TIMESTAMP '{SPLIT_AT}'
+UNION ALL SELECT 'live', count(*), CAST(sum(Vol) AS BIGINT) FROM usable WHERE ts > TIMESTAMP '{SPLIT_AT}'
+UNION ALL SELECT 'segment', count(*), CAST(sum(SegmentID) AS BIGINT) FROM (SELECT DISTINCT Boro, SegmentID, WktGeom, Street, fromSt, toSt FROM usable)
+UNION ALL SELECT 'untimed', 0, NULL""")
+def prepared_outputs(spark, folder):
+    """Raw CSV in, all outputs of the preparation written and read back."""
+    root = new_path(spark, "prepared")
+    tables.write_csv(st.raw(spark, folder), f"{root}/raw")
+    preparation.prepare(tables.read_raw(spark, f"{root}/raw"), root, SPLIT_AT)
+    sums = {
+        "capture": tables.read_captures(spark, f"{root}/capture"),
+        "live": tables.read_csv(spark, f"{root}/live", f"{schemas.CAPTURE}, Boro STRING"),
+        "segment": tables.read_segments(spark, f"{root}/segment").withColumn("Vol", F.col("SegmentID")),
+        "untimed": tables.read_csv(spark, f"{root}/untimed", "SegmentID INT, Direction STRING, Vol INT, Boro STRING"),
+    }
+    return preparation.stack([
+        frame.agg(F.count(F.lit(1)).alias("n"), F.sum("Vol").alias("total")).withColumn("part", F.lit(part))
+        for part, frame in sums.items()
+    ])
+
+
 # ---------------------------------------------------------------- series and forecasts
 
 
@@ -479,6 +551,17 @@ def grouped_forecast(spark, folder):
     return forecast.forecast(st.captures(spark, folder), run_time=_run_time(), keep_days=True)
 
 
+@_query(_with(_CAPTURE, _ENDS) + """
+SELECT SegmentID, Direction, max_history_ds + to_minutes(15 * i) AS Timestamp, h AS history_days,
+       CAST(SegmentID % 50 AS DOUBLE) AS prediction_vol
+FROM ends, (VALUES (1), (3), (7)) AS lags(h), (VALUES (1), (2), (3), (4)) AS steps(i)""")
+def forecast_of_constants(spark, folder):
+    """Every series made constant, many of them of one observation: the forecast is that value."""
+    flat = st.captures(spark, folder).withColumn("Vol", (F.col("SegmentID") % 50).cast("int"))
+    made = forecast.forecast(flat, run_time=_run_time(), keep_days=True)
+    return made.select(*schemas.SERIES_KEYS, "Timestamp", "history_days", _r("prediction_vol").alias("prediction_vol"))
+
+
 _WINDOWS = _with(_CAPTURE, _ENDS) + """, windows AS (
   SELECT SegmentID, Direction, h AS history_days, max_history_ds,
          min(Timestamp) - INTERVAL '15 minutes' AS min_history_ds
@@ -546,6 +629,13 @@ def daily_copy(spark, folder):
     return tables.read_by_day(spark, root, F.lit(SINCE).cast("timestamp_ntz"))
 
 
+@_query(_with(_CAPTURE) + "SELECT * FROM capture")
+def daily_copy_whole(spark, folder):
+    root = new_path(spark, "daily")
+    tables.write_by_day(st.captures(spark, folder), root)
+    return tables.read_by_day(spark, root)
+
+
 @_query(_with(_CAPTURE) + "SELECT * FROM capture")
 def topic_roundtrip(spark, folder):
     topic = Topic("captures", st.CAPTURE, new_path(spark, "topic"))
@@ -605,6 +695,16 @@ def served_means(spark, folder):
     return snapshots.read_latest(spark, root, schemas.SERVED_BOROUGHS)
 
 
+@_query(_RECENT_SQL)
+def served_after_restart(spark, folder):
+    """A job that starts again counts from 0; readers get what it serves, not the old 40th version."""
+    root = new_path(spark, "restarted")
+    means = boro_recent_mean(spark, folder)
+    snapshots.publish(means.withColumn("Vol", -F.col("Vol")), root, 40, "first checkpoint")
+    snapshots.publish(means, root, 0, "second checkpoint")
+    return snapshots.read_latest(spark, root, schemas.SERVED_BOROUGHS)
+
+
 @_query(_with(_CAPTURE, _SEGMENT) + """
 SELECT Boro, Timestamp, round(avg(Vol), 6) AS Vol FROM capture JOIN segment USING (SegmentID)
 GROUP BY Boro, Timestamp""")
@@ -645,18 +745,18 @@ windows AS (
   SELECT r_name AS Boro, time_bucket(INTERVAL '15 minutes', Timestamp) AS Timestamp, round(avg(Vol), 6) AS Vol
   FROM minutes JOIN customer ON SegmentID = c_custkey JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)
-SELECT * FROM windows
-WHERE Timestamp + INTERVAL '15 minutes' <= (SELECT max(Timestamp) FROM minutes) - INTERVAL '3 days'""")
+SELECT * FROM windows""")
 def stream_boro_mean(spark, folder):
-    """Watermarked windows over the replay log; the watermark leaves the last days open."""
+    """Watermarked windows over the replay log, and those the watermark leaves open at its end."""
     root = new_path(spark, "stream-windows")
-    rows = topics.stream(spark, _replayed(spark, folder, root))
-    means = sq.borough_windows(rows, st.segments(spark, folder), f"{SLICE_DAYS} days")
+    topic, places = _replayed(spark, folder, root), st.segments(spark, folder)
+    means = sq.borough_windows(topics.stream(spark, topic), places, f"{SLICE_DAYS} days")
     writer = means.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
     query = writer.option("checkpointLocation", f"{root}/checkpoint").start(f"{root}/out")
     sq.await_or_stop(query)
     out = spark.read.schema(schemas.SERVED_BOROUGHS).parquet(f"{root}/out")
-    return out.withColumn("Vol", _r("Vol"))
+    rest = sq.open_windows(topics.snapshot(spark, topic), out, places, f"{SLICE_DAYS} days")
+    return out.unionByName(rest).withColumn("Vol", _r("Vol"))
 
 
 @_query(f"""SELECT user_id AS SegmentID, event_type AS Direction, CAST(floor(value) AS INTEGER) AS Vol,
@@ -669,6 +769,15 @@ def stream_daily_copy(spark, folder):
     return tables.read_by_day(spark, f"{root}/copy", F.lit(SINCE).cast("timestamp_ntz"))
 
 
+@_query("""SELECT user_id AS SegmentID, event_type AS Direction, CAST(floor(value) AS INTEGER) AS Vol,
+       date_trunc('minute', ts) AS Timestamp FROM events""")
+def stream_daily_copy_whole(spark, folder):
+    root = new_path(spark, "stream-copy")
+    rows = topics.stream(spark, _replayed(spark, folder, root))
+    sq.await_or_stop(sq.start_daily_copy(rows, f"{root}/copy", f"{root}/checkpoint", every_seconds=None))
+    return tables.read_by_day(spark, f"{root}/copy")
+
+
 @_query(_with(_CAPTURE, _SEGMENT) + """
 SELECT Boro, Timestamp, round(avg(Vol), 6) AS Vol FROM capture JOIN segment USING (SegmentID)
 GROUP BY Boro, Timestamp""")
@@ -680,21 +789,21 @@ def stream_partial_means(spark, folder):
     handle = sq.latest_captures_writer(f"{root}/served", st.segments(spark, folder))
     query = sq.start_micro_batches(ticked, handle, f"{root}/checkpoint", every_seconds=None)
     sq.await_or_stop(query)
-    parts = spark.read.parquet(f"{root}/served/partials").drop(sq.EPOCH)
+    parts = spark.read.parquet(f"{root}/served/partials").drop(sq.RUN, sq.EPOCH)
     return rollups.merge_partials(parts).withColumn("Vol", _r("Vol"))
 
 
 @_query(_with(_CAPTURE, _SEGMENT, _PREDICTION) + """
 SELECT Boro, Timestamp, round(avg(prediction_vol), 6) AS Vol FROM prediction JOIN segment USING (SegmentID)
-GROUP BY Boro, Timestamp""")
+WHERE prediction_ds = (SELECT max(prediction_ds) FROM prediction) GROUP BY Boro, Timestamp""")
 def stream_latest_forecasts(spark, folder):
-    """Predictions arrive on a log; each micro-batch replaces the served borough means."""
+    """Every run comes in several files and every batch is one file; the newest run is served whole."""
     root = new_path(spark, "stream-forecasts")
     topic = Topic("predictions", st.PREDICTION, f"{root}/log")
-    topics.append(st.predictions(spark, folder), topic)
+    topics.append(st.predictions(spark, folder).repartition(3), topic)
     handle = sq.latest_forecasts_writer(f"{root}/served", st.segments(spark, folder))
     query = sq.start_micro_batches(
-        topics.stream(spark, topic), handle, f"{root}/checkpoint", every_seconds=None
+        topics.stream(spark, topic, files_per_trigger=1), handle, f"{root}/checkpoint", every_seconds=None
     )
     sq.await_or_stop(query)
     served = snapshots.read_latest(spark, f"{root}/served", schemas.SERVED_BOROUGHS)
@@ -702,10 +811,12 @@ def stream_latest_forecasts(spark, folder):
 
 
 @_query(_with(_CAPTURE, _SEGMENT, _PREDICTION, _LATEST, _BORO_FORECAST) + """
-SELECT 'cache' AS served, Boro, Timestamp, round(avg(Vol), 6) AS Vol
+SELECT 'cache' AS served, Boro, Timestamp, NULL::DOUBLE AS Long, NULL::DOUBLE AS Lat, round(avg(Vol), 6) AS Vol
 FROM capture JOIN segment USING (SegmentID)
 WHERE Timestamp > (SELECT max(Timestamp) FROM capture) - INTERVAL '3 hours' GROUP BY Boro, Timestamp
-UNION ALL SELECT 'prediction', Boro, Timestamp, Vol FROM boro_forecast""")
+UNION ALL SELECT 'prediction', Boro, Timestamp, NULL, NULL, Vol FROM boro_forecast
+UNION ALL SELECT 'batch', NULL, Timestamp, Long, Lat, CAST(sum(Vol) AS DOUBLE) FROM capture JOIN segment USING (SegmentID)
+WHERE Timestamp = (SELECT max(Timestamp) FROM capture) GROUP BY Timestamp, Long, Lat""")
 def periodic_rollups(spark, folder):
     """The rollup cycle, started by new captures, over the three logs."""
     root = new_path(spark, "periodic")
@@ -728,7 +839,9 @@ def periodic_rollups(spark, folder):
         )
         for name in ("cache", "prediction")
     ]
-    return preparation.stack(served).withColumn("Vol", _r("Vol"))
+    places = snapshots.read_latest(spark, f"{root}/served/batch", schemas.SERVED_LOCATIONS)
+    totals = places.select("Timestamp", "Long", "Lat", F.col("total_vol").cast("double").alias("Vol"), F.lit("batch").alias("served"))
+    return preparation.stack(served).withColumn("Vol", _r("Vol")).unionByName(totals, allowMissingColumns=True)
 
 
 @_query(_WINDOWS + """

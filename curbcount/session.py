@@ -70,8 +70,13 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         yield root
     finally:
         _scratch.reset(token)
-        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, root)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package's own tables, wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from curbcount import schemas
+from curbcount.functions.event_time import seconds, tick_floor
 from curbcount.operators.lookup import lookup_join
-from curbcount.plans.rollups import borough_means, borough_partials
-from curbcount.session import new_path
+from curbcount.plans.rollups import borough_means, borough_partials, merge_partials, partials
 from curbcount.sources.snapshots import publish
 from curbcount.sources.tables import DAY
 
 BatchFunction = Callable[[DataFrame, int], None]
 EPOCH = "epoch"
+RUN = "run"
 
 
 def start_micro_batches(
@@ -99,14 +100,38 @@ def borough_windows(
     )
 
 
+def open_windows(
+    records: DataFrame, closed: DataFrame, segments: DataFrame, delay: str, ts: str = "Timestamp",
+    value: str = "Vol", step_seconds: int = schemas.STEP_SECONDS,
+) -> DataFrame:
+    """The windows a finished stream has left open, from the log it read.
+
+    Only records the watermark has not passed are aggregated; windows that were emitted are left out.
+    """
+    last = records.agg((F.max(ts) - F.expr(f"INTERVAL {delay}") - seconds(step_seconds)).alias("bound"))
+    late = records.filter(F.col(ts) >= last.scalar()).withColumn(ts, tick_floor(ts, step_seconds))
+    return borough_means(late, segments, value, ts).join(closed, ["Boro", ts], "left_anti")
+
+
+def run_of(batch: DataFrame) -> str:
+    """The id of the stream a batch belongs to: kept in its checkpoint, new with a new checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+def epoch_folder(root: str, batch: DataFrame, epoch: int) -> str:
+    """A folder of its own for every epoch of every checkpoint."""
+    return f"{root}/{RUN}={run_of(batch) or 'none'}/{EPOCH}={epoch}"
+
+
 def epoch_writer(root: str, transform: Callable[[DataFrame], DataFrame]) -> BatchFunction:
-    """Handler that writes ``transform(batch)`` to a folder named by the epoch.
+    """Handler that writes ``transform(batch)`` to a folder named by checkpoint and epoch.
 
-    A repeated epoch replaces its own folder, so the table holds every batch once.
+    A repeated epoch replaces its own folder, so the table holds every batch once, and a new
+    checkpoint, whose epochs begin at 0 again, replaces nothing.
     """
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{root}/{EPOCH}={epoch}")
+        transform(batch).write.mode("overwrite").parquet(epoch_folder(root, batch, epoch))
 
     return handle
 
@@ -125,7 +150,7 @@ def latest_captures_writer(root: str, segments: DataFrame) -> BatchFunction:
     def handle(batch: DataFrame, epoch: int) -> None:
         kept = batch.persist()
         try:
-            publish(lookup_join(kept, segments, ["SegmentID"]), f"{root}/batch", epoch)
+            publish(lookup_join(kept, segments, ["SegmentID"]), f"{root}/batch", epoch, run_of(batch))
             sums(kept, epoch)
         finally:
             kept.unpersist()
@@ -134,10 +159,22 @@ def latest_captures_writer(root: str, segments: DataFrame) -> BatchFunction:
 
 
 def latest_forecasts_writer(root: str, segments: DataFrame) -> BatchFunction:
-    """Handler for new predictions: serve their borough means, replacing the last ones."""
+    """Handler for new predictions: serve the borough means of the newest run of the forecast.
+
+    A run may come in several batches, and a batch may hold several runs. So every batch leaves sums by run
+    time, in folders by run time, and what is served merges all sums of the newest one: only its
+    folders are opened.
+    """
+    parts = f"{root}-sums"
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        publish(borough_means(batch, segments, "prediction_vol"), root, epoch)
+        sums = partials(batch, "prediction_vol", ["Timestamp", "prediction_ds"], segments, ["Boro"])
+        named = sums.select("Boro", "Timestamp", F.col("__sum").alias("sum_vol"), F.col("__count").alias("n_vol"), F.col("prediction_ds").cast("string").alias("of_run"))
+        named.write.mode("overwrite").partitionBy("of_run").parquet(epoch_folder(parts, batch, epoch))
+        layout = f"Boro STRING, Timestamp TIMESTAMP_NTZ, sum_vol DOUBLE, n_vol BIGINT, {RUN} STRING, {EPOCH} BIGINT, of_run STRING"
+        stored = batch.sparkSession.read.schema(layout).parquet(parts)
+        newest = stored.agg(F.max("of_run").alias("of_run")).scalar()
+        publish(merge_partials(stored.filter(F.col("of_run") == newest)), root, epoch, run_of(batch))
 
     return handle
 
@@ -155,17 +192,17 @@ def clock(spark: SparkSession) -> DataFrame:
 def start_periodic(
     spark: SparkSession,
     job: Callable[[int], None],
+    checkpoint: str,
     every_seconds: int = schemas.CYCLE_SECONDS,
     source: DataFrame | None = None,
-    checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Run ``job(epoch)`` every ``every_seconds``; a run that takes longer delays the next.
 
-    By default a clock drives it. With ``source`` it runs only when that stream has new rows.
+    The checkpoint is where epochs are counted; give a restarted job the same one. By default a clock drives it. With ``source`` it runs only when that stream has new rows.
     """
     return start_micro_batches(
         clock(spark) if source is None else source,
         recompute(job),
-        checkpoint or new_path(spark, "periodic"),
+        checkpoint,
         every_seconds,
     )

@@ -177,6 +177,20 @@ def test_published_versions(spark, make, tmp_path):
     assert rows(snapshots.read_latest(spark, root, layout)) == [(4, "w")]
 
 
+def test_versions_never_go_back(spark, make, tmp_path):
+    root, layout = str(tmp_path / "served"), "a INT"
+    for run, epoch, value in (("one", 40, 1), ("two", 0, 2), ("two", 1, 3), ("two", 1, 4)):
+        snapshots.publish(make([(value,)], layout), root, epoch, run)
+    assert snapshots.latest_version(spark, root) == 42
+    assert rows(snapshots.read_latest(spark, root, layout)) == [(4,)]
+    snapshots.publish(make([(9,)], layout), root, 40, "one")  # an old epoch again replaces its own version only
+    assert rows(snapshots.read_latest(spark, root, layout)) == [(4,)]
+    for epoch in range(2, 10):
+        snapshots.publish(make([(epoch,)], layout), root, epoch, "two")
+    assert len(list((tmp_path / "served" / "data").iterdir())) == len(list((tmp_path / "served" / "published").iterdir())) == snapshots.KEEP_VERSIONS + 1
+    assert rows(snapshots.read_latest(spark, root, layout)) == [(9,)]
+
+
 def test_scratch_is_removed(spark, make):
     with scratch(spark) as root:
         assert root.startswith(shared_dir(spark))

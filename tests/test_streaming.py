@@ -48,8 +48,16 @@ def test_replay_slices_are_ordered_and_repeatable(spark, day, tmp_path):
     ]
     assert stamps == sorted(stamps)
     assert replay.write_replay_log(day.limit(0), f"{tmp_path}/none") == 0
-    with pytest.raises(ValueError):
-        replay.write_replay_log(day, str(tmp_path), slice_seconds=1)
+
+
+def test_replay_sets_rows_without_time_aside(spark, day, tmp_path):
+    none = day.limit(3).withColumn("Timestamp", F.lit(None).cast("timestamp_ntz"))
+    far = day.limit(1).withColumn("Timestamp", F.col("Timestamp") + F.expr("INTERVAL 9000 DAYS"))
+    count = replay.write_replay_log(day.unionByName(none).unionByName(far), f"{tmp_path}/log")
+    assert count == 9001  # no limit on slices, and no cost for empty ones
+    assert len(list((tmp_path / "log").glob("slice=*"))) == 3
+    assert spark.read.text(f"{tmp_path}/log").count() == day.count() + 1
+    assert topics.decode(spark.read.text(f"{tmp_path}/log-untimed"), schemas.CAPTURE).count() == 3
 
 
 @pytest.mark.parametrize("files,limit", [(None, None), (1, None), (2, 1)])
@@ -81,16 +89,35 @@ def test_partials_give_exact_means_when_a_tick_spans_batches(spark, day, segment
     handle = sq.latest_captures_writer(f"{tmp_path}/served", segments)
     stream = topics.stream(spark, topic, files_per_trigger=1)
     sq.await_or_stop(sq.start_micro_batches(stream, handle, f"{tmp_path}/check", every_seconds=None))
-    parts = spark.read.parquet(f"{tmp_path}/served/partials").drop(sq.EPOCH)
+    parts = spark.read.parquet(f"{tmp_path}/served/partials")
     assert parts.count() > 192
     assert rows(rollups.merge_partials(parts)) == rows(rollups.borough_means(day, segments))
-    # A repeated epoch does not count twice.
-    handle(day.filter("SegmentID = 1"), 0)
-    again = spark.read.parquet(f"{tmp_path}/served/partials").drop(sq.EPOCH)
-    assert rows(rollups.merge_partials(again)) == rows(rollups.borough_means(day, segments))
     assert snapshots.latest_version(spark, f"{tmp_path}/served/batch") == 3
 
 
+def test_repeated_epochs_replace_and_new_checkpoints_add(spark, day, segments, tmp_path):
+    handle = sq.partial_means_writer(str(tmp_path / "sums"), segments)
+    handle(day.filter("SegmentID = 2"), 0)
+    handle(day, 0)
+    assert rows(rollups.merge_partials(spark.read.parquet(f"{tmp_path}/sums"))) == rows(rollups.borough_means(day, segments))
+    # the same log under two checkpoints is two runs, whose epochs both begin at 0
+    topic = Topic("captures", schemas.CAPTURE, f"{tmp_path}/log")
+    topics.append(day, topic)
+    writer = sq.partial_means_writer(f"{tmp_path}/both", segments)
+    for name in ("a", "b"):
+        sq.await_or_stop(sq.start_micro_batches(topics.stream(spark, topic), writer, f"{tmp_path}/{name}", every_seconds=None))
+    both = spark.read.parquet(f"{tmp_path}/both")
+    assert both.select(sq.RUN).distinct().count() == 2
+    assert both.agg(F.sum("n_vol")).first()[0] == 2 * rollups.borough_partials(day, segments).agg(F.sum("n_vol")).first()[0]
+
+
+def test_open_windows_complete_a_finished_stream(spark, day, segments, tmp_path):
+    topic = log(tmp_path, day, slice_seconds=6 * 3600)
+    closed = run_windows(spark, tmp_path, topic, segments, "6 hours")
+    rest = sq.open_windows(topics.snapshot(spark, topic), closed, segments, "6 hours")
+    assert rest.count() > 0 and rows(closed.unionByName(rest)) == rows(rollups.borough_means(day, segments))
+
+
 def test_watermark_needs_zoned_time(spark, day, segments, tmp_path):
     topic = log(tmp_path, day)
     with pytest.raises(Exception, match="(?i)event.?time|timestamp"):
@@ -102,20 +129,24 @@ def test_latest_forecasts_replace_each_other(spark, make, segments, tmp_path):
     topic = Topic("predictions", schemas.PREDICTION, f"{tmp_path}/log")
     handle = sq.latest_forecasts_writer(f"{tmp_path}/served", segments)
 
-    def send(value):
-        row = (1, "NB", at("2017-06-20 12:15"), value, START, START, START)
+    def send(segment, value, run):
+        row = (segment, "NB", at("2017-06-20 12:15"), value, START, START, run)
         topics.append(make([row], schemas.PREDICTION), topic)
         query = sq.start_micro_batches(topics.stream(spark, topic), handle, f"{tmp_path}/check", every_seconds=None)
         sq.await_or_stop(query)
         return rows(snapshots.read_latest(spark, f"{tmp_path}/served", schemas.SERVED_BOROUGHS))
 
-    assert send(1.0) == [("Bronx", at("2017-06-20 12:15"), 1.0)]
-    assert send(5.0) == [("Bronx", at("2017-06-20 12:15"), 5.0)]
+    assert send(1, 10.0, START) == [("Bronx", at("2017-06-20 12:15"), 10.0)]
+    # the same run goes on in a second batch: served is the mean of both
+    assert send(2, 30.0, START) == [("Bronx", at("2017-06-20 12:15"), 20.0)]
+    assert send(1, 5.0, START + timedelta(hours=1)) == [("Bronx", at("2017-06-20 12:15"), 5.0)]
+    # rows of an older run that come late change nothing
+    assert send(2, 50.0, START) == [("Bronx", at("2017-06-20 12:15"), 5.0)]
 
 
-def test_periodic_job_runs_and_stops(spark):
+def test_periodic_job_runs_and_stops(spark, tmp_path):
     epochs = []
-    query = sq.start_periodic(spark, epochs.append, every_seconds=1)
+    query = sq.start_periodic(spark, epochs.append, str(tmp_path), every_seconds=1)
     assert sq.await_or_stop(query, timeout=8) is False
     assert not query.isActive and len(epochs) >= 2 and epochs == sorted(set(epochs))
 
