@@ -63,6 +63,25 @@ def trim_history(
     )
 
 
+def trim_ranges(
+    captures: DataFrame,
+    ranges: Sequence[int] = schemas.HISTORY_DAYS,
+    keys: Sequence[str] = schemas.SERIES_KEYS,
+    ts: str = "Timestamp",
+    ends: DataFrame | None = None,
+    broadcast_limit: int | None = None,
+) -> DataFrame:
+    """:func:`trim_history` for several lengths in one pass, with ``history_days``.
+
+    Rows are trimmed to the longest range and repeated for every range that still holds them.
+    """
+    ends = series_ends(captures, keys, ts) if ends is None else ends
+    floor = ends.agg((F.min(_END) - days(max(ranges))).alias("floor"))
+    joined = lookup_join(captures.filter(F.col(ts) > floor.scalar()), ends, keys, broadcast_limit)
+    held = F.array_compact(F.array(*[F.when(F.col(ts) > F.col(_END) - days(d), F.lit(d)) for d in ranges]))
+    return joined.withColumn("history_days", F.explode(held)).select(*captures.columns, "history_days")
+
+
 def observations(
     captures: DataFrame,
     keys: Sequence[str] = schemas.SERIES_KEYS,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from curbcount import schemas
 from curbcount.functions.event_time import interval_days, interval_minutes
 
+# Names of the axes as the data model defines them.
 AXES = ["range_days", "future_forecasting_minutes"]
 
 

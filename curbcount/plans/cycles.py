@@ -34,8 +34,8 @@ def rollup_frames(
     ahead = rollups.latest_run(predictions, now.scalar())
     return {
         "batch": rollups.location_totals(rollups.current(captures), segments).drop("weight"),
-        "cache": rollups.borough_means(rollups.recent(captures), segments),
-        "prediction": rollups.borough_means(ahead, segments, "prediction_vol"),
+        "cache": rollups.for_display(rollups.borough_means(rollups.recent(captures), segments)),
+        "prediction": rollups.for_display(rollups.borough_means(ahead, segments, "prediction_vol")),
     }
 
 

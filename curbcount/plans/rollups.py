@@ -100,9 +100,14 @@ def borough_means(
     facts: DataFrame, segments: DataFrame, value: str = "Vol", ts: str = "Timestamp",
     limit: int | None = None,
 ) -> DataFrame:
-    """Mean of ``value`` by borough and time, as column ``Vol``, ordered for display."""
+    """Mean of ``value`` by borough and time, as column ``Vol``; sort with :func:`for_display` at the end."""
     sums = partials(facts, value, [ts], segments, ["Boro"], limit)
-    return sums.select("Boro", ts, _mean().alias("Vol")).orderBy(ts, "Boro")
+    return sums.select("Boro", ts, _mean().alias("Vol"))
+
+
+def for_display(means: DataFrame, ts: str = "Timestamp") -> DataFrame:
+    """Served order: by time, then borough. Not for steps that others build on."""
+    return means.orderBy(ts, "Boro")
 
 
 def borough_partials(

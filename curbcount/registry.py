@@ -489,11 +489,7 @@ WHERE Timestamp > last - INTERVAL '{days} days'"""
 
 @_query(_with(_CAPTURE) + " UNION ALL ".join(_trim_sql(d) for d in schemas.HISTORY_DAYS))
 def trim_history(spark, folder):
-    rows = st.captures(spark, folder)
-    ends = series.series_ends(rows)
-    return preparation.stack([
-        series.trim_history(rows, d, ends=ends).withColumn("history_days", F.lit(d)) for d in schemas.HISTORY_DAYS
-    ])
+    return series.trim_ranges(st.captures(spark, folder))
 
 
 _ENDS = """ends AS (

@@ -124,16 +124,16 @@ def append_csv(spark: SparkSession, paths, topic: Topic, header: bool = False) -
     append(read_csv(spark, paths, topic.layout(), header=header), topic)
 
 
+def _broker(reader, topic: Topic, offsets: str) -> DataFrame:
+    """The log on Kafka, read from the given end. Option names are the connector's: fixed values."""
+    options = {"kafka.bootstrap.servers": topic.brokers, "subscribe": topic.name, "startingOffsets": offsets}
+    return reader.format("kafka").options(**options).load()
+
+
 def snapshot(spark: SparkSession, topic: Topic, bound=None, ts: str = "Timestamp") -> DataFrame:
     """All records so far, from the earliest one, as a typed table."""
     if topic.brokers:
-        raw = (
-            spark.read.format("kafka")
-            .option("kafka.bootstrap.servers", topic.brokers)
-            .option("subscribe", topic.name)
-            .option("startingOffsets", "earliest")
-            .load()
-        )
+        raw = _broker(spark.read, topic, "earliest")
     else:
         raw = spark.read.text(topic.location)
     return since(decode(raw, topic.layout()), bound, ts)
@@ -142,13 +142,7 @@ def snapshot(spark: SparkSession, topic: Topic, bound=None, ts: str = "Timestamp
 def stream(spark: SparkSession, topic: Topic, files_per_trigger: int | None = None) -> DataFrame:
     """Unbounded form: new records only on Kafka, the whole folder in order on files."""
     if topic.brokers:
-        raw = (
-            spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", topic.brokers)
-            .option("subscribe", topic.name)
-            .option("startingOffsets", "latest")
-            .load()
-        )
+        raw = _broker(spark.readStream, topic, "latest")
     else:
         reader = spark.readStream.schema("value string")
         if files_per_trigger:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from curbcount import schemas
 from curbcount.functions.event_time import seconds, tick_floor
 from curbcount.operators.lookup import lookup_join
-from curbcount.plans.rollups import borough_means, borough_partials, merge_partials, partials
+from curbcount.plans.rollups import borough_means, borough_partials, for_display, merge_partials, partials
 from curbcount.sources.snapshots import publish
 from curbcount.sources.tables import DAY
 
@@ -174,7 +174,7 @@ def latest_forecasts_writer(root: str, segments: DataFrame) -> BatchFunction:
         layout = f"Boro STRING, Timestamp TIMESTAMP_NTZ, sum_vol DOUBLE, n_vol BIGINT, {RUN} STRING, {EPOCH} BIGINT, of_run STRING"
         stored = batch.sparkSession.read.schema(layout).parquet(parts)
         newest = stored.agg(F.max("of_run").alias("of_run")).scalar()
-        publish(merge_partials(stored.filter(F.col("of_run") == newest)), root, epoch, run_of(batch))
+        publish(for_display(merge_partials(stored.filter(F.col("of_run") == newest))), root, epoch, run_of(batch))
 
     return handle
 

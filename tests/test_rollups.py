@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from curbcount import schemas
@@ -48,7 +49,7 @@ def test_location_totals_join_same_place(make, segments):
 
 
 def test_borough_means_ignore_nulls_and_unknown_segments(make, segments):
-    got = [tuple(r) for r in rollups.borough_means(rollups.recent(make(CAPTURES)), segments).collect()]
+    got = [tuple(r) for r in rollups.for_display(rollups.borough_means(rollups.recent(make(CAPTURES)), segments)).collect()]
     assert got == [
         ("Bronx", at("2017-06-20 09:15"), 4.0), ("Bronx", at(NOW), 20.0), ("Staten Island", at(NOW), 5.0),
     ]
@@ -108,3 +109,13 @@ def test_stitched_lines_meet(make):
         ("Bronx", at(NOW), 2.0, "history"), ("Bronx", at("2017-06-20 12:15"), 3.0, "forecast"),
     ]
     assert rollups.borough_series(history, "Queens").count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [3, 50, 10_000])
+def test_heavy_keys_with_equal_rows_keep_every_row(spark, hot_rows):
+    """Half of the rows are one key, all of them equal; another key is heavy with different rows."""
+    from curbcount.operators.lookup import salted_join
+
+    facts = spark.createDataFrame([(1, 7)] * 400 + [(2, n) for n in range(200)] + [(n, n) for n in range(3, 200)] + [(None, 1)], "k INT, v INT")
+    places = spark.createDataFrame([(n, f"p{n}") for n in range(1, 150)] + [(1, "again")], "k INT, name STRING")
+    assert rows(salted_join(facts, places, ["k"], hot_rows=hot_rows)) == rows(facts.join(places, "k"))

@@ -3,7 +3,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from curbcount.operators import series
+from curbcount.operators import lookup, series
 
 from .conftest import at, plan, rows
 
@@ -30,13 +30,15 @@ def test_trim_is_per_series_and_strict(make, limit):
     )
 
 
-def test_trim_never_gathers_a_series(make, spark, tmp_path):
+def test_trim_never_gathers_a_series(make, spark, tmp_path, monkeypatch):
     make(ticks(1, 10)).write.parquet(str(tmp_path / "c"))
     frame = spark.read.parquet(str(tmp_path / "c"))
     small, large = (plan(series.trim_history(frame, 1, broadcast_limit=b)) for b in (None, 1))
     assert "Window" not in small + large
     assert "GreaterThan(Timestamp,ScalarSubquery" in small
-    assert "BroadcastHashJoin" in small and "__salt" in large
+    assert "BroadcastHashJoin" in small and "__salt" not in large
+    monkeypatch.setattr(lookup.salted_join, "__defaults__", (lookup.SALTS, 3))
+    assert "__salt" in plan(series.trim_history(frame, 1, broadcast_limit=1))  # only where a key is heavy
 
 
 def test_observations_are_sufficient_and_bounded(make):
