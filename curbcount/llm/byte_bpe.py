@@ -6,7 +6,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -15,11 +14,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import columns, slices
+from curbcount.llm.common import columns, kept, slices
 
 SLICE_BYTES = 4 << 20
 #: Encoded words a worker knows in each of two generations.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 400_000
 #: Words of one merging query.
 WORDS = 1 << 15
 #: Rows of one decoding query.
@@ -167,9 +166,12 @@ class ByteBpe:
         first cut there, and each distinct piece is matched and encoded once.
         """
         cut = [_cut(t) for t in texts]
-        matches = {p: self.words.findall(p) for p in {p for own in cut for p in own}}
+        pieces = {p for own in cut for p in own}
+        # what was once a match is a match as a whole
+        coded = {p: self.known[p] for p in pieces if p in self.known}
+        matches = {p: self.words.findall(p) for p in pieces.difference(coded)}
         self._learn({w for own in matches.values() for w in own})
-        coded = {p: b"".join(map(self.known.__getitem__, own)) for p, own in matches.items()}
+        coded.update((p, b"".join(map(self.known.__getitem__, own))) for p, own in matches.items())
         return [b"".join(map(coded.__getitem__, own)) for own in cut]
 
     def _learn(self, words: set[str]) -> None:
@@ -217,10 +219,9 @@ def _cut(text: str) -> list[str]:
     return [first, *(" " + x for x in others)]
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> ByteBpe:
-    """One per worker and vocabulary."""
-    return ByteBpe(path, pattern)
+    """The worker's own, with the words it knows."""
+    return kept(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def _coded(docs: DataFrame, path: str, pattern: str, text_col: str, keep_ids: bool) -> DataFrame:

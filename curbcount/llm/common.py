@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,23 @@ LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 LOWER = bytes.maketrans(LETTERS[0].encode(), LETTERS[1].encode())
 
 
+_kept: dict = {}
+
+
+def kept(owner: tuple, make: Callable[[], object]):
+    """A worker's costly object, made once. A worker keeps those of one owner only: what an operator that
+    ran here before has left is dropped, so a chain of operators needs no more memory than one of them."""
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def release() -> None:
+    """For operators without such an object: drops what others have left in this worker."""
+    _kept.clear()
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows that hold at most ``limit`` bytes of the column, or one row."""
     for batch in batches:

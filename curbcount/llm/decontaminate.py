@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import LETTERS, columns, slices
+from curbcount.llm.common import LETTERS, columns, kept, slices
 
 WINDOW = 13
 #: Windows' bytes an automaton is built from; a larger benchmark is scanned for in several passes.
@@ -53,21 +53,18 @@ def _blocks(items: DataFrame, window: int, limit: int) -> Iterator[list[tuple[st
     yield list(block.items())
 
 
-_built: dict[str, ahocorasick.Automaton] = {}
-
-
 def _automaton(name: str, block: list[tuple[str, list[str]]]) -> ahocorasick.Automaton | None:
     """The block's automaton; one per worker is kept."""
     if not block:
         return None
-    if name not in _built:
-        _built.clear()
+    def build() -> ahocorasick.Automaton:
         made = ahocorasick.Automaton()
         for text, owners in block:
             made.add_word(f" {text} ", (len(text) + 2, owners))
         made.make_automaton()
-        _built[name] = made
-    return _built[name]
+        return made
+
+    return kept(("windows", name), build)
 
 
 def hits(text: str | None, automaton: ahocorasick.Automaton | None) -> tuple[np.ndarray, list[tuple[int, int]], set[str]]:

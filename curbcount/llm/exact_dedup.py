@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import columns, slices
+from curbcount.llm.common import columns, release, slices
 from curbcount.session import materialise
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -78,6 +78,7 @@ def normalised(text: bytes) -> bytes:
 
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds to every row its hashes, its length and the first row of this task with the same content."""
+    release()
     table, owners = ContentTable(), []
     for part in slices(batches, "text"):
         own, keys, sha, chars = [], [], [], []
@@ -166,6 +167,7 @@ def _classes(records: Iterator[tuple[int, int, bytes]], folder: Path, depth: int
 
 
 def _grace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     folder = Path(tempfile.mkdtemp(prefix="grace-"))
 
     def records():

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import slices
+from curbcount.llm.common import release, slices
 
 #: The training sample is bounded: so many labelled rows in all, of texts up to so many characters, and
 #: so many languages (the most frequent ones).
@@ -203,6 +203,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_
     carried = ["record", "text"][: 1 + keep_text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         own = shared.value
         for part in slices(batches, "text", SLICE_BYTES):
             langs, score = own.predict([t or "" for t in part["text"].to_pylist()])

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from curbcount.llm import byte_bpe, decontaminate, html_text, language_id, personal_data, queries, token_counts, url_reputation
+from curbcount.llm import byte_bpe, common, decontaminate, html_text, language_id, personal_data, queries, token_counts, url_reputation
 from tests.llm.conftest import LONG, PASSAGE, base_rows
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -72,6 +72,14 @@ def test_spans_map_to_the_original():
     assert [text[a:b] for a, b in decontaminate.character_spans(text, [(0, 1), (1, 3)])] == ["Ä", "x—Alpha,\nBETA"]
 
 
+def test_a_worker_keeps_the_objects_of_one_operator():
+    first = common.kept(("a",), list)
+    assert common.kept(("a",), list) is first
+    assert common.kept(("b",), dict) == {} and common.kept(("a",), list) is not first
+    common.release()
+    assert not common._kept
+
+
 # ---------------------------------------------------------------- tokens
 
 
