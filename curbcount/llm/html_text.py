@@ -35,6 +35,9 @@ IMPLIED_END = {
 #: End tags do not reach across these.
 SCOPE = frozenset("table td th caption button object template".split())
 ROW_GROUPS = ("thead", "tbody", "tfoot")
+#: What may stand directly in these is known; anything else moves in front of the table.
+TABLE_PARTS = frozenset(("table", "tr", *ROW_GROUPS))
+IN_TABLE = frozenset("caption colgroup col tr td th script style template".split()) | set(ROW_GROUPS)
 CELL_GAP = 2
 MAX_DEPTH = 400
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
@@ -43,10 +46,11 @@ _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "home")
 
     def __init__(self, tag: str, attrs: dict[str, str | None]):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.home: list | None = None  # of a table: the children it is one of
 
 
 class TreeBuilder(HTMLParser):
@@ -70,9 +74,23 @@ class TreeBuilder(HTMLParser):
 
     def _push(self, tag: str, attrs: dict) -> None:
         element = Element(tag, attrs)
-        self.open[-1].children.append(element)
+        home = self._place(element, tag in IN_TABLE)
+        if tag == "table":
+            element.home = home
         self.open.append(element)
 
+    def _place(self, node: Element | str, fits: bool) -> list:
+        """Puts the node into the innermost open element, or in front of the table in whose parts it has no place."""
+        home = self.open[-1].children
+        if not fits and self.open[-1].tag in TABLE_PARTS and (at := self._find({"table"}, ())) > 0:
+            table = self.open[at]
+            home = table.home
+            k = next(k for k in range(len(home) - 1, -1, -1) if home[k] is table)
+            home.insert(k, node)
+        else:
+            home.append(node)
+        return home
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         given = dict(reversed(attrs))
         if tag in ("html", "body"):
@@ -93,6 +111,12 @@ class TreeBuilder(HTMLParser):
                 self._close_to(at)
         if tag == "a" and (at := self._find({"a"}, SCOPE)) > 0:
             self._close_to(at)
+        if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self.open.pop()
+        if tag in IN_TABLE - HIDDEN and (at := self._find(TABLE_PARTS, {"td", "th", "caption", "colgroup", "template"})) > 0:
+            self._close_to(at + 1)  # what moved in front of the table ends here
+        if tag == "form" and self.open[-1].tag in TABLE_PARTS:
+            return  # its rows and cells belong to the table
         if tag in ("td", "th") and self.open[-1].tag in ("table", *ROW_GROUPS):
             self._push("tr", {})
         if len(self.open) > MAX_DEPTH:
@@ -124,7 +148,9 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1].tag == "head" and data.strip():
             self.open.pop()
-        self.open[-1].children.append(data)
+        if self.open[-1].tag == "colgroup" and data.strip():
+            self.open.pop()
+        self._place(data, not data.strip())
 
 
 def tree(html: str) -> Element:
@@ -254,10 +280,22 @@ def _rows(element: Element) -> Iterator[Element]:
             yield from _rows(child)
 
 
+def _loose(element: Element) -> Iterator[Element | str]:
+    """The caption, and what stands in a table or its row groups without being a row."""
+    for child in element.children:
+        if isinstance(child, str):
+            if child.strip():
+                yield child
+        elif child.tag in ROW_GROUPS:
+            if not hidden(child):
+                yield from _loose(child)
+        elif child.tag not in ("tr", "colgroup", "col"):
+            yield child
+
+
 def _table(element: Element, out: Layout, pre: bool) -> None:
     """Cells one under the other: every column is as wide as its widest cell that spans no other."""
-    loose = [c for c in element.children if isinstance(c, str) and c.strip() or not isinstance(c, str) and c.tag not in ("tr", "colgroup", "col", *ROW_GROUPS)]
-    for child in loose:  # the caption, and what stands in a table by mistake, come first
+    for child in _loose(element):  # these come first
         _render(child, out, pre)
     out.edge(False)
     grid: list[list[tuple[int, int, list[str]]]] = []

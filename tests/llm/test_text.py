@@ -290,6 +290,25 @@ def test_deep_and_random_pages():
         assert html_text.visible_text(page).count("w") == page.count("w")
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<table><tbody><form><tr><td>a</td></tr></form></tbody></table>", "a"), ("<table><tr><form><td>a</td><td>b</td></form></tr></table>", "a  b"),
+    ("<table><tbody>note<tr><td>a</table>", "note\n\na"), ("<table><tbody><div>note</div><tr><td>a<td>b</table>", "note\n\na  b"),
+    ("<table><thead><div>note<tr><td>a<tr><td>b</table>", "note\n\na\nb"), ("<table hidden><tbody>note<tr><td>no</table>", "note"),
+    ("<table><colgroup>note<tr><td>a</table>", "note\n\na"), ("x<table><tr><td>y<table><tbody>z<tr><td>in</table></table>", "x\n\nyz\n\nin"),
+])
+def test_what_stands_in_a_table_by_mistake_stays(html, text):
+    assert html_text.visible_text(html) == text
+
+
+def test_random_tables_keep_their_words():
+    rng = random.Random(6)
+    tags = ["p", "table", "tbody", "thead", "tfoot", "form", "div", "tr", "td", "th", "caption", "colgroup", "li", "ul", "b"]
+    for size in (40, 40, 1500):
+        for _ in range(300 if size == 40 else 10):
+            page = "".join("w " if rng.random() < 0.3 else f"<{'/' * (rng.random() < 0.3)}{rng.choice(tags)}>" for _ in range(size))
+            assert html_text.visible_text(page).count("w") == page.count("w")
+
+
 def test_pages_of_a_table(spark):
     frame = spark.createDataFrame([(1, "<p>x</p>", "t"), (1, "<p>x</p>", "t"), (None, None, None)], "page_id bigint, html string, text string")
     assert collected(html_text.extract_text(frame)) == [(1, "x", 1, 1), (1, "x", 1, 1), (None, "", 0, 0)]
