@@ -3,7 +3,8 @@
 Reputation is empirical Bayes over labelled page outcomes: at every level (suffix, registered domain,
 host) the share of bad pages is drawn towards the level above through a beta prior. The prior's mean is
 the parent's posterior mean and its strength is fitted to the spread of the level's own shares. A page is
-blocked if even the lower posterior bound of its host's bad share exceeds a limit.
+blocked if even the lower posterior bound of its host's bad share exceeds a limit. A host without labelled
+pages is a leaf with no counts, so it has what the nearest labelled level above says.
 """
 
 from __future__ import annotations
@@ -67,21 +68,22 @@ def _strength(n: Column, share: Column, mean: Column) -> Column:
 
 
 def reputation(outcomes: DataFrame) -> DataFrame:
-    """host, pages, bad, mean, error of every labelled host, from columns ``host`` and ``bad`` (0 or 1).
+    """host, pages, bad, mean, error of every host, from columns ``host`` and ``bad`` (0, 1, null if not labelled).
 
     Counts are combined before they are shuffled, so a host with very many pages is one row from then on.
-    The top of the tree is the share of all pages. No labelled page at all gives no rows.
+    The top of the tree is the share of all labelled pages; without any, mean and error are null. Rows that
+    count nothing add nothing to the strengths.
     """
-    hosts = outcomes.groupBy("host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("bad").cast("double").alias("k"))
+    hosts = outcomes.groupBy("host").agg(F.count("bad").cast("double").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("double").alias("k"))
     # one row per host, read again by every level
     hosts = materialise(hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "hosts")
-    above = hosts.agg((F.sum("k") / F.sum("n")).alias("up"))
+    above = hosts.agg((F.sum("k") / F.nullif(F.sum("n"), F.lit(0.0))).alias("up"))
     known, prior = None, None
     for level, parent in zip(LEVELS, (None, "suffix", "domain")):
         counts = hosts.groupBy(level, *([parent] if parent else [])).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
         # the top row is one aggregate; each other level meets its parent by key
         met = counts.withColumn("up", above.select("up").scalar()) if parent is None else counts.join(known, parent)
-        strength = met.agg(_strength(F.col("n"), F.col("k") / F.col("n"), F.col("up")).alias("s")).select("s").scalar()
+        strength = met.agg(_strength(F.col("n"), F.col("k") / F.nullif(F.col("n"), F.lit(0.0)), F.col("up")).alias("s")).select("s").scalar()
         post = met.withColumn("s", strength).withColumn("mean", (F.col("k") + F.col("up") * F.col("s")) / (F.col("n") + F.col("s")))
         known = post.select(F.col(level), F.col("mean").alias("up"))
         prior = post
@@ -96,15 +98,17 @@ def judge_urls(
     """One row per row of ``pages``: id, host, path, rule, verdict, and the reputation behind it.
 
     The longest rule that fits decides; without one, a page is blocked if its host's lower posterior
-    bound of the bad share is above ``bad_share``, and allowed otherwise. Hosts without labelled pages
-    are allowed: nothing is held against them. Null urls and urls without ``://`` have an empty host and
-    path. ``outcomes`` has one row per labelled page (id, 0 or 1); pages with null ids have none, repeated
+    bound of the bad share is above ``bad_share``, and allowed otherwise. Hosts without labelled pages are
+    judged by their domain, suffix or all pages, whichever is the nearest with labels; without any label
+    all are allowed. Null urls and urls without ``://`` have an empty host and no reputation. ``outcomes`` has one row per labelled page (id, 0 or 1); pages with null ids have none, repeated
     labels count once by the worse one. Repeated rows stay; other columns are not read.
     """
     url = pages[url_col]
     named = columns(pages, page=id_col, host=host_of(url), path=path_of(url))
     labels = columns(outcomes, page=outcome_id, bad=outcome_bad).where("page IS NOT NULL AND bad IS NOT NULL").groupBy("page").agg(F.max("bad").alias("bad"))
-    hosts = reputation(named.where("host <> ''").join(labels, "page").select("host", "bad"))
+    hosted = named.where("host <> ''")
+    every = hosted.select("host", F.lit(None).cast("int").alias("bad"))
+    hosts = reputation(hosted.join(labels, "page").select("host", "bad").unionByName(every))
     judged = named.join(hosts, "host", "left").withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
     low = F.col("mean") - errors * F.col("error")
     method = F.when(low > bad_share, "block").otherwise("allow")

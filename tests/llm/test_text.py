@@ -337,6 +337,22 @@ def test_urls(spark):
     assert url_reputation.judge_urls(frame.limit(0), outcomes, queries.RULES).count() == 0
 
 
+def test_hosts_without_labels_have_the_level_above(spark):
+    rows = [
+        *((k, f"http://h{k % 4}.bad.net/{k}") for k in range(200)), *((200 + k, f"http://h{k % 4}.good.net/{k}") for k in range(200)),
+        *((400 + k, f"http://d{k % 8}.evil/{k}") for k in range(200)), *((600 + k, f"http://d{k % 8}.fine/{k}") for k in range(200)),
+        (900, "http://new.bad.net/"), (901, "http://new.good.net/"), (902, "http://new.d9.evil/"), (903, "http://new.d9.fine/"), (904, "http://new.other/"), (None, "http://x.bad.net/"),
+    ]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string")
+    outcomes = spark.createDataFrame([(k, int(k < 200 or 400 <= k < 600)) for k in range(800)], "page_id bigint, bad int")
+    found = {r.page_id: r for r in url_reputation.judge_urls(frame, outcomes, []).collect()}
+    assert {k: found[k].verdict for k in (900, 901, 902, 903, 904, None)} == {900: "block", 901: "allow", 902: "block", 903: "allow", 904: "allow", None: "block"}
+    assert min(found[900].bad_mean, found[902].bad_mean) > 0.9 and found[904].bad_mean == 0.5 and found[900].bad_low < found[0].bad_low
+    # labelled hosts are judged as without the others
+    alone = {r.page_id: r for r in url_reputation.judge_urls(frame.where("page_id < 900"), outcomes, []).collect()}
+    assert all(abs(found[k].bad_low - alone[k].bad_low) < 1e-8 for k in alone)
+
+
 def test_domains(spark):
     frame = spark.createDataFrame([("a.b.example.com",), ("a.shop.co.uk",), ("co.uk",), ("localhost",), ("",)], "host string")
     found = frame.select(url_reputation.suffix_of(frame.host), url_reputation.domain_of(frame.host)).collect()
