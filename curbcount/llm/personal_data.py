@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 import string
 from collections.abc import Iterator
@@ -80,7 +81,9 @@ _AT = r"(?: ?\(at\) ?| ?\[at\] ?| at )"
 _DOT = r"(?: ?\(dot\) ?| ?\[dot\] ?| dot |\.)"
 _GENERATORS = [
     ("email", re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{2,63}}){{1,4}}", re.I), re.compile(r"[(\[ ]at[)\] ]", re.I)),
-    ("ip", re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}:?[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"), re.compile(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:")),
+    # hex digits and two or more colons, no longer than an address can be; a colon may stand before and after
+    ("ip", re.compile(r"(?:(?<![0-9A-Za-z:])|(?<=[A-Za-z]{2}:)|(?<=[G-Zg-z=]:))(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:)(?=:*[0-9A-Fa-f])"
+                      r"[0-9A-Fa-f:]{0,40}(?:[0-9A-Fa-f]|::)(?![0-9A-Za-z]|:[0-9A-Za-z:])"), re.compile(r":[0-9A-Fa-f]{0,4}:")),
     ("card", re.compile(r"(?<![0-9])[0-9]{4}(?:[ ./-]?[0-9]{2,7}){2,4}(?![0-9])"), _DIGIT),
     ("phone", re.compile(r"(?<![0-9+])(?:00[0-9]{1,3}[ ./-]?)?\(?0?[0-9]{2,5}\)?(?:[ ./-][0-9]{2,5}){1,4}(?![0-9])"), _DIGIT),
     ("phone", re.compile(r"(?<![0-9+])[0-9]{7,13}(?![0-9])"), _DIGIT),
@@ -104,6 +107,16 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
     return [(kind, *m.span()) for kind, pattern, hint in _GENERATORS if hint.search(text) for m in pattern.finditer(text)]
 
 
+def _ipv6(own: str) -> bool:
+    if own.count(":") < 2:
+        return False
+    try:
+        ipaddress.IPv6Address(own)
+    except ValueError:
+        return False
+    return True
+
+
 def describe(text: str, kind: str, start: int, end: int) -> list[float]:
     """Format and context of a candidate. Validity by checksum or range is a feature, not a filter."""
     own, before, after = text[start:end], text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
@@ -114,7 +127,7 @@ def describe(text: str, kind: str, start: int, end: int) -> list[float]:
         *(float(kind == k) for k in KINDS), float(len(own)), float(len(digits)), float(len(groups)), float(max(groups, default=0)), float(min(groups, default=0)),
         float(own.count(" ")), float(own.count(".")), float(own.count("-")), float(own.count("/")), float("(" in own), float(own.startswith("+")),
         float(own.startswith("0")), float(own.startswith("00")), float(luhn(digits) if digits else 0), float(len(parts) == 4 and all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in parts)),
-        float("@" in own), float(bool(_TOP_LEVEL.search(own))), float(own.count(":")), float(bool(re.search(r"\b(?:19|20)[0-9]{2}\b", own))), float(digits[:3] == "555" or digits[3:6] == "555"),
+        float("@" in own), float(bool(_TOP_LEVEL.search(own))), float(own.count(":")), float(_ipv6(own)), float("::" in own), float(max(map(len, own.split(":")))), float(bool(re.search(r"\b(?:19|20)[0-9]{2}\b", own))), float(digits[:3] == "555" or digits[3:6] == "555"),
         float(bool(before) and before[-1].isalnum()), float(bool(after) and after[0].isalnum()), float(sum(c.isdigit() for c in before + after)),
         *(float(bool(cue.search(before))) for cue in _CUES), float(bool(re.search(r"[$€£#]\s?$", before))), float(bool(re.match(r"\s?(?:%|€|\$|kg|km|mm|px|ms)", after))),
     ]
@@ -139,6 +152,13 @@ def _made(rng: np.random.Generator, words: list[str]) -> tuple[str, int, int, st
     card += str(next(d for d in range(10) if luhn(card + str(d))))
     amex = "3" + one(["4", "7"]) + number(12, "0123456789")
     amex += str(next(d for d in range(10) if luhn(amex + str(d))))
+
+    def groups(low: int, high: int) -> str:
+        return ":".join(f"{int(rng.integers(1, 1 << one([4, 16, 16]))):x}" for _ in range(int(rng.integers(low, high))))
+
+    short = one([f"{one(['2001:db8', '2a02:' + groups(1, 2), 'fe80', 'fd' + number(2)])}{one(['', ':' + groups(1, 4)])}::{groups(0, 4)}", f"fe80::{groups(1, 5)}", f"2001:{groups(1, 3)}::{groups(1, 4)}", "::1"])
+    clock = f"{rng.integers(0, 24):02d}:{rng.integers(0, 60):02d}:{rng.integers(0, 60):02d}"
+    scope = one(["abc", "add", "face", "bad", "dead", "cafe", "fade", "ad", "c", "bed"])
     lines = [
         ("email", f"{name}{one([' at ', ' (at) ', '(at)', ' [at] ', '[at]'])}{host}{one([' dot ', ' (dot) ', '[dot]', '.'])}{one(['com', 'org', 'net', 'de'])}", ["mail", "contact", "write to", ""], True),
         ("phone", f"({number(3)}) {number(3)}-{number(4)}", ["call", "tel", "phone:", "fax", ""], True),
@@ -148,6 +168,9 @@ def _made(rng: np.random.Generator, words: list[str]) -> tuple[str, int, int, st
         ("card", f"{card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]}", ["card", "visa", ""], True),
         ("card", f"{amex[:4]} {amex[4:10]} {amex[10:]}", ["card", "amex", "credit card"], True),
         ("ip", ":".join(f"{int(rng.integers(1, 65535)):x}" for _ in range(8)), ["ip", "host", "login from", ""], True),
+        ("ip", one([short, short, short.upper()]), ["ip", "host", "login from", "address", "ping", "server", ""], True),
+        ("ip", one([clock, f"{clock}:{rng.integers(0, 30):02d}", f"{rng.integers(1, 9)}:{rng.integers(1, 9)}:{rng.integers(1, 99)}"]), ["at", "time", "ratio", "until", ""], False),
+        ("ip", one([f"{scope}::{one(['add', 'bed', 'c', 'fade', 'dead', 'ace'])}", f"::{scope}", ":".join(f"{int(rng.integers(0, 256)):02x}" for _ in range(6))]), ["call", "class", "mac", "in", ""], False),
         ("phone", f"{rng.integers(1900, 2030)}-{rng.integers(10, 13)}-{rng.integers(10, 29)}", ["on", "date", "since", ""], False),
         ("phone", f"{number(3)} {number(3)} {number(3)}", ["total", "price", "$", "order", ""], False),
         ("phone", number(int(rng.integers(7, 13))), ["order", "id", "ref", "no.", "", "invoice"], False),

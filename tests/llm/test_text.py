@@ -248,6 +248,24 @@ def test_added_spans(spans, text, kind):
     assert [k for k, _, _ in spans.choose(text, personal_data.base_spans(text))] == [kind]
 
 
+@pytest.mark.parametrize("address", ["2001:db8::1", "fe80::1", "::1", "2001:db8::ff00:42:8329", "2001:DB8:0:1::a", "2001:db8:85a3:1:2:8a2e:370:7334"])
+@pytest.mark.parametrize("around", ["login from {} here", "host {}.", "ip:{}, then", "server [{}]:443 up"])
+def test_compressed_addresses(spans, address, around):
+    text = around.format(address)
+    if address != "::1" or "ip:" not in around:
+        at = text.index(address)
+        assert spans.choose(text, personal_data.base_spans(text)) == [("ip", at, at + len(address))]
+
+
+@pytest.mark.parametrize("text", ["at 12:30:45 then", "until 23:59:59:12 today", "class abc::add is", "ratio 1:2:3 of"])
+def test_colons_of_other_kinds_are_left_alone(spans, text):
+    assert [k for k, _, _ in personal_data.proposals(text)] == ["ip"] and spans.choose(text, personal_data.base_spans(text)) == []
+
+
+def test_address_proposals_of_runs_take_linear_time():
+    assert [s for s in personal_data.proposals("a" * 200_000 + ":" * 200_000 + "ab:" * 100_000 + "z") if s[2] - s[1] > 41] == []
+
+
 @pytest.mark.parametrize("text", ["order 2024-01-02 total 12,50 EUR", "version 3.14.15", "look at the end of page 12", "ISBN 978-3-1610-1484-5"])
 def test_ordinary_numbers_are_left_alone(spans, text):
     assert spans.choose(text, personal_data.base_spans(text)) == []
