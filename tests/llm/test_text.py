@@ -248,6 +248,27 @@ def test_added_spans(spans, text, kind):
     assert [k for k, _, _ in spans.choose(text, personal_data.base_spans(text))] == [kind]
 
 
+def test_numbers_of_the_corpus_without_label_turn_nothing_off():
+    rng = random.Random(3)
+    def phone():
+        return f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+    own = personal_data.train([f"please call {phone()} or tel {phone()} and write to bob at mailhost dot com today" for _ in range(400)])
+    texts = [f"please call {phone()} now" for _ in range(50)]
+    found = [[(k, t[a:b]) for k, a, b in own.choose(t, personal_data.base_spans(t))] for t in texts]
+    assert found == [[("phone", t[12:26])] for t in texts]
+    mail = "write to bob at mailhost dot com today"
+    assert [k for k, _, _ in own.choose(mail, personal_data.base_spans(mail))] == ["email"]
+
+
+@pytest.mark.parametrize("own, surely", [
+    ("on 2024-01-02 at", True), ("on 31.12.1999 at", True), ("isbn 978-3-1610-1484-5 at", True), ("total € 1200 500 at", True), ("paid 1234 500,00 EUR at", True),
+    ("version 33.14.15 at", True), ("call 415-555-2671 at", False), ("on 2024-13-41 at", False), ("order 4155552671 at", False),
+])
+def test_only_clear_numbers_are_negatives(own, surely):
+    found = re.search(r"[0-9][0-9 .,-]*[0-9]", own.replace(",00", "   "))
+    assert personal_data.ordinary(own, *found.span()) == surely
+
+
 @pytest.mark.parametrize("address", ["2001:db8::1", "fe80::1", "::1", "2001:db8::ff00:42:8329", "2001:DB8:0:1::a", "2001:db8:85a3:1:2:8a2e:370:7334"])
 @pytest.mark.parametrize("around", ["login from {} here", "host {}.", "ip:{}, then", "server [{}]:443 up"])
 def test_compressed_addresses(spans, address, around):
