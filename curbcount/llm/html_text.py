@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,11 +15,20 @@ from curbcount.llm.common import columns, slices
 
 # Element groups of the HTML standard: fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("area base datalist head link meta noembed noframes noscript param rp script style template title audio canvas iframe object svg video math select".split())
+HIDDEN = frozenset("area base datalist head link meta noembed noframes noscript param rp script style template title audio canvas iframe object video".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul caption".split()
 )
+#: Elements of SVG and MathML that show nothing, those of SVG that hold text, and tags that end both.
+NOT_DRAWN = frozenset("title desc defs metadata symbol clippath mask script style annotation annotation-xml mphantom".split())
+DRAWN_TEXT = frozenset("text tspan textpath".split())
+FOREIGN = frozenset(("svg", "math"))
+HTML_INSIDE = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var".split()
+)
 HEAD_CONTENT = frozenset("base link meta title noscript noframes style script template".split())
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul hr".split())
 CLOSES_P = BLOCK - {"body", "html", "caption", "li", "dd", "dt", "legend", "summary"} | {"li", "dd", "dt", "summary"}
@@ -40,11 +50,19 @@ TABLE_PARTS = frozenset(("table", "tr", *ROW_GROUPS))
 IN_TABLE = frozenset("caption colgroup col tr td th script style template".split()) | set(ROW_GROUPS)
 CELL_GAP = 2
 MAX_DEPTH = 400
-_NO_DISPLAY = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse)\b", re.I)
 _PRE = re.compile(r"white-space\s*:\s*(?:pre|break-spaces)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
+class Style(NamedTuple):
+    """What children inherit: white space is kept, text is shown."""
+
+    pre: bool = False
+    shown: bool = True
+
+
 class Element:
     __slots__ = ("tag", "attrs", "children", "home")
 
@@ -99,6 +117,12 @@ class TreeBuilder(HTMLParser):
                 self._close_to(at if at > 0 else len(self.open))
             self.root.attrs = {**given, **self.root.attrs}
             return
+        if tag in BREAKOUT and (at := self._find(FOREIGN, HTML_INSIDE)) > 0:
+            self._close_to(at)
+        if tag in ("select", "input", "textarea") and (at := self._find({"select"}, SCOPE)) > 0:
+            self._close_to(at)
+            if tag == "select":  # a second start tag is an end tag
+                return
         if self.open[-1].tag == "head" and tag not in HEAD_CONTENT:
             self.open.pop()
         if tag in CLOSES_P and (at := self._find({"p"}, SCOPE)) > 0:
@@ -170,6 +194,19 @@ def hidden(element: Element) -> bool:
     )
 
 
+def _inherit(element: Element, style: Style) -> Style:
+    own = element.attrs.get("style") or ""
+    pre = style.pre or element.tag in ("pre", "textarea", "listing") or bool(_PRE.search(own))
+    found = _VISIBILITY.findall(own)
+    return Style(pre, found[-1].lower() in ("visible", "initial") if found else style.shown)
+
+
+def _collapsed(element: Element) -> bool:
+    """Rows that collapse go as a whole."""
+    found = _VISIBILITY.findall(element.attrs.get("style") or "")
+    return hidden(element) or bool(found) and found[-1].lower() == "collapse"
+
+
 def width(text: str) -> int:
     """Columns a text takes: wide East Asian characters take two, combining marks none."""
     if text.isascii():
@@ -254,53 +291,54 @@ def _number(text: str | None, default: int) -> int:
     return int(text) if text and re.fullmatch(r"\s*-?\d{1,9}\s*", text) else default
 
 
-def _list(element: Element, out: Layout, pre: bool) -> None:
+def _list(element: Element, out: Layout, style: Style) -> None:
     place = _number(element.attrs.get("start"), 1)
     for child in element.children:
         if isinstance(child, str) or child.tag != "li":
-            _render(child, out, pre)
+            _render(child, out, style)
             continue
         if hidden(child):
             continue
+        own = _inherit(child, style)
         place = _number(child.attrs.get("value"), place)
         mark, indent = _marker(element, place)
         place += 1
         out.edge(False)
-        out.add_lines(render(child.children, pre), mark, indent)
+        out.add_lines(render(child.children, own), mark if own.shown else indent, indent)
         out.edge(False)
 
 
-def _rows(element: Element) -> Iterator[Element]:
+def _rows(element: Element, style: Style) -> Iterator[tuple[Element, Style]]:
     for child in element.children:
-        if isinstance(child, str) or hidden(child):
+        if isinstance(child, str) or child.tag not in ("tr", *ROW_GROUPS) or _collapsed(child):
             continue
         if child.tag == "tr":
-            yield child
-        elif child.tag in ROW_GROUPS:
-            yield from _rows(child)
+            yield child, _inherit(child, style)
+        else:
+            yield from _rows(child, _inherit(child, style))
 
 
-def _loose(element: Element) -> Iterator[Element | str]:
+def _loose(element: Element, style: Style) -> Iterator[tuple[Element | str, Style]]:
     """The caption, and what stands in a table or its row groups without being a row."""
     for child in element.children:
         if isinstance(child, str):
             if child.strip():
-                yield child
+                yield child, style
         elif child.tag in ROW_GROUPS:
-            if not hidden(child):
-                yield from _loose(child)
+            if not _collapsed(child):
+                yield from _loose(child, _inherit(child, style))
         elif child.tag not in ("tr", "colgroup", "col"):
-            yield child
+            yield child, style
 
 
-def _table(element: Element, out: Layout, pre: bool) -> None:
+def _table(element: Element, out: Layout, style: Style) -> None:
     """Cells one under the other: every column is as wide as its widest cell that spans no other."""
-    for child in _loose(element):  # these come first
-        _render(child, out, pre)
+    for child, own in _loose(element, style):  # these come first
+        _render(child, out, own)
     out.edge(False)
     grid: list[list[tuple[int, int, list[str]]]] = []
     taken: dict[tuple[int, int], bool] = {}
-    for r, row in enumerate(_rows(element)):
+    for r, (row, own) in enumerate(_rows(element, style)):
         cells, c = [], 0
         for cell in row.children:
             if isinstance(cell, str) and not cell.strip() or not isinstance(cell, str) and hidden(cell):
@@ -311,7 +349,7 @@ def _table(element: Element, out: Layout, pre: bool) -> None:
             across, down = (min(max(1, _number(attrs.get(a), 1)), 1000) for a in ("colspan", "rowspan"))
             for k in range(1, down):
                 taken.update({(r + k, c + j): True for j in range(across)})
-            cells.append((c, across, render([cell] if isinstance(cell, str) or cell.tag not in ("td", "th") else cell.children, pre)))
+            cells.append((c, across, render([cell], own) if isinstance(cell, str) or cell.tag not in ("td", "th") else render(cell.children, _inherit(cell, own))))
             c += across
         grid.append(cells)
     wide: dict[int, int] = {}
@@ -333,30 +371,106 @@ def _table(element: Element, out: Layout, pre: bool) -> None:
     out.edge(False)
 
 
-def _render(node: Element | str, out: Layout, pre: bool) -> None:
+def _options(element: Element) -> Iterator[Element]:
+    for child in element.children:
+        if not isinstance(child, str) and not hidden(child):
+            if child.tag == "option":
+                yield child
+            else:
+                yield from _options(child)
+
+
+def _select(element: Element, out: Layout, style: Style) -> None:
+    """The option a closed list shows: the last one selected, else the first that can be; an open list shows all."""
+    options = list(_options(element))
+    if "multiple" not in element.attrs and _number(element.attrs.get("size"), 1) <= 1:
+        options = [o for o in options if "selected" in o.attrs][-1:] or [o for o in options if "disabled" not in o.attrs][:1] or options[:1]
+    for k, option in enumerate(options):
+        if k:
+            out.edge(False)
+        for child in [option.attrs["label"]] if option.attrs.get("label") else option.children:
+            _render(child, out, _inherit(option, style))
+
+
+def _drawing(element: Element, out: Layout, style: Style, drawn: bool) -> None:
+    """Text labels of a drawing, each on a line of its own; HTML inside is laid out as ever."""
+    for child in element.children:
+        if isinstance(child, str):
+            if drawn:
+                _render(child, out, style)
+            continue
+        if child.tag in NOT_DRAWN or hidden(child) or child.attrs.get("display") == "none":
+            continue
+        own = _inherit(child, style)
+        if child.attrs.get("visibility") and not _VISIBILITY.search(child.attrs.get("style") or ""):
+            own = own._replace(shown=child.attrs["visibility"] == "visible")
+        apart = child.tag == "text" or child.tag == "foreignobject" or child.tag == "tspan" and any(a in child.attrs for a in ("x", "y", "dy"))
+        if apart:
+            out.edge(False)
+        if child.tag == "foreignobject":
+            for node in child.children:
+                _render(node, out, own)
+        else:
+            _drawing(child, out, own, drawn or child.tag in DRAWN_TEXT)
+        if child.tag in ("text", "foreignobject"):
+            out.edge(False)
+
+
+def _formula(element: Element, out: Layout, style: Style) -> None:
+    """A formula in reading order, without annotations: fractions with a slash, rows of a matrix on lines."""
+    parts = [c for c in element.children if isinstance(c, str) or c.tag not in NOT_DRAWN and not hidden(c)]
+    above = 0
+    for child in parts:
+        if isinstance(child, str):
+            if child.strip():
+                _render(child, out, style)
+            continue
+        if element.tag == "mfrac" and above and style.shown:
+            out.text("/", False)
+        above += 1
+        if child.tag in ("mtr", "mlabeledtr"):
+            out.edge(False)
+        if child.tag == "mtd" or child.tag == "mtext":
+            out.text(" ", False)
+        if child.tag in BREAKOUT | FOREIGN:
+            _render(child, out, style)
+        else:
+            _formula(child, out, _inherit(child, style))
+        if child.tag == "mtext":
+            out.text(" ", False)
+
+
+def _render(node: Element | str, out: Layout, style: Style) -> None:
     if isinstance(node, str):
-        out.text(node, pre)
+        if style.shown:
+            out.text(node, style.pre)
         return
     if hidden(node):
         return
-    tag, style = node.tag, node.attrs.get("style") or ""
+    tag, style = node.tag, _inherit(node, style)
     if tag == "br":
         out.newline()
     elif tag == "img":
-        out.text(node.attrs.get("alt") or "", False)
+        if style.shown:
+            out.text(node.attrs.get("alt") or "", False)
     elif tag == "wbr":
         return
+    elif tag == "select":
+        _select(node, out, style)
+    elif tag == "svg":
+        _drawing(node, out, style, False)
+    elif tag == "math":
+        _formula(node, out, style)
     else:
-        pre = pre or tag in ("pre", "textarea", "listing") or bool(_PRE.search(style))
         block = tag in BLOCK
         if block:
             out.edge(tag in SPACED)
         if tag in ("ul", "ol", "menu", "dir"):
-            _list(node, out, pre)
+            _list(node, out, style)
         elif tag == "table":
-            _table(node, out, pre)
+            _table(node, out, style)
         elif tag in ("blockquote", "dd"):
-            out.add_lines(render(node.children, pre), "    ", "    ")
+            out.add_lines(render(node.children, style), "    ", "    ")
         else:
             children = node.children
             if tag == "pre" and children and isinstance(children[0], str):
@@ -364,15 +478,15 @@ def _render(node: Element | str, out: Layout, pre: bool) -> None:
             if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if not isinstance(c, str) and c.tag == "summary"][:1]
             for child in children:
-                _render(child, out, pre)
+                _render(child, out, style)
         if block:
             out.edge(tag in SPACED)
 
 
-def render(nodes: list[Element | str], pre: bool = False) -> list[str]:
+def render(nodes: list[Element | str], style: Style = Style()) -> list[str]:
     out = Layout()
     for node in nodes:
-        _render(node, out, pre)
+        _render(node, out, style)
     return out.finish()
 
 
@@ -385,8 +499,9 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """One row per row: id, text, n_chars, n_lines. All visible text, in reading order.
 
     Paragraphs, headings, lists and tables are set apart by a blank line; list items get markers and an
-    indent; table cells stand in columns; preformatted text keeps its white space. Scripts, styles, head
-    and elements hidden by attribute or inline style are left out. Null and empty pages give empty text;
+    indent; table cells stand in columns; preformatted text keeps its white space. Formulas and labels of
+    drawings are text, a closed list shows its chosen option. Scripts, styles, head, embedded media and
+    elements hidden by attribute or inline style are left out. Null and empty pages give empty text;
     rows with equal or null ids stay apart; other columns are not read. Tags nested deeper than
     ``MAX_DEPTH`` become siblings.
     """

@@ -339,6 +339,20 @@ def test_what_stands_in_a_table_by_mistake_stays(html, text):
     assert html_text.visible_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("so <math><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math> holds", "so a=1/2 holds"),
+    ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs>no<g><text>Left</text><text>Right <tspan>side</tspan></text></g></svg>end", "Left\nRight side\nend"),
+    ("<svg><foreignObject><p>x</p></foreignObject></svg>", "x"), ("<svg><path d='M0'>a<p>b</p>c", "b\n\nc"),
+    ("pick <select><option>one<option selected>two<option>three</select>!", "pick two!"), ("<select><option disabled>a<option>b<optgroup><option>c</select>", "b"),
+    ("<select multiple><option>a<option>b</select>", "a\nb"), ("<select><option>a<select>tail", "atail"),
+    ("<span style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</span>", "yes"), ("<ul style='visibility:hidden'><li>no<li style='visibility:visible'>x</ul>", "- x"),
+    ("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>x</table>", "x"), ("<table><tr style='visibility:collapse'><td>no<tr><td>x</table>", "x"),
+    ("<table><tr><td style='visibility:hidden'>no<td>x<tr><td>ab<td>y</table>", "    x\nab  y"),
+])
+def test_formulas_drawings_lists_and_visibility(html, text):
+    assert html_text.visible_text(html) == text
+
+
 def test_random_tables_keep_their_words():
     rng = random.Random(6)
     tags = ["p", "table", "tbody", "thead", "tfoot", "form", "div", "tr", "td", "th", "caption", "colgroup", "li", "ul", "b"]
