@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 8 << 20
 LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -62,9 +63,30 @@ def unpack(data: bytes, count: int, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, count).T).view(kind).ravel()
 
 
-def columns(docs: DataFrame, **named: str | Column) -> DataFrame:
-    """Only the named columns, so that others of any name never meet the operator's own."""
-    return docs.select(*[(docs[c] if isinstance(c, str) else c).alias(n) for n, c in named.items()])
+def named(column: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def columns(docs: DataFrame, **given: str | Column) -> DataFrame:
+    """Only the given columns under new names, so that others of any name never meet the operator's own."""
+    return docs.select(*[(named(c) if isinstance(c, str) else c).alias(n) for n, c in given.items()])
+
+
+def record_of(docs: DataFrame, without: Iterable[str] = (), **more: str | Column) -> DataFrame:
+    """``record``, a struct of all columns but those of ``without``, and further given columns."""
+    out = set(without)
+    return docs.select(F.struct(*[named(c) for c in docs.columns if c not in out]).alias("record"), *[(named(c) if isinstance(c, str) else c).alias(n) for n, c in more.items()])
+
+
+def fields(record: str, names: Iterable[str]) -> list[Column]:
+    """The fields of these names of a struct column, as columns."""
+    return [F.col(record).getField(n).alias(n) for n in names]
+
+
+def schema_of(docs: DataFrame, column: str, ddl: str) -> StructType:
+    """A column's own type (names in it may need quotes, so it is never written as text), then those of the DDL."""
+    return StructType([docs.schema[column], *StructType.fromDDL(ddl).fields])
 
 
 def documents(spark, folder: str, table: str = "documents") -> DataFrame:

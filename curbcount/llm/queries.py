@@ -13,11 +13,13 @@ from curbcount.llm.byte_bpe import round_trip
 from curbcount.llm.common import documents
 from curbcount.llm.decontaminate import find_contamination
 from curbcount.llm.exact_dedup import exact_groups
+from curbcount.llm.hard_negatives import mine
 from curbcount.llm.html_text import extract_text
 from curbcount.llm.simhash import near_groups
 from curbcount.llm.substrings import remove_repeats
 from curbcount.llm.token_counts import count_tokens
 from curbcount.llm.url_reputation import judge_urls
+from curbcount.llm.vector_codes import books_sha256, compress, with_label_error
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -186,6 +188,57 @@ def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(documents(spark, folder, "pages"), outcomes, RULES)
 
 
+# ---------------------------------------------------------------- 11 vector code compression
+
+_FINITE = "embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0"
+_ROUND = f"""
+best{{i}} AS (
+  SELECT r, part, min(({' + '.join(f'(x[{k}] - c[{k}]) * (x[{k}] - c[{k}])' for k in range(1, 5))}) * 64 + e) AS m
+  FROM piece JOIN book{{i}} USING (part) GROUP BY r, part)"""
+_MEAN = """
+mean{i} AS (SELECT part, m % 64 AS e, count(*) AS n, [sum(x[1]), sum(x[2]), sum(x[3]), sum(x[4])] AS s FROM best{i} JOIN piece USING (r, part) GROUP BY ALL),
+book{j} AS (SELECT part, e, CASE WHEN n IS NULL THEN c ELSE [CAST((t - ((t % n) + n) % n) / n AS BIGINT) for t in s] END AS c FROM book{i} LEFT JOIN mean{i} USING (part, e))"""
+
+
+@_query(f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings WHERE {_FINITE}),
+piece AS (SELECT r, part, v[4 * part + 1 : 4 * part + 4] AS x FROM kept, LATERAL (SELECT unnest(range(16)) AS part)),
+book0 AS (SELECT part, CAST(e AS BIGINT) AS e, x AS c FROM (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept) JOIN piece USING (r) WHERE e < 64),
+{','.join(_ROUND.format(i=i) + ',' + _MEAN.format(i=i, j=i + 1) for i in range(2))},{_ROUND.format(i=2)},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', CAST(m % 64 AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(m // 64) AS BIGINT) AS error
+  FROM best2 JOIN kept USING (r) GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) FROM book2) AS codebooks_sha256 FROM coded""")
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = compress(documents(spark, folder, "embeddings"))
+    digest = F.lit(books_sha256(books)).alias("codebooks_sha256")
+    return with_label_error(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
+# ---------------------------------------------------------------- 12 hard-negative mining
+
+
+@_query(f"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+pair AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM kept a, kept b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (SELECT * FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.other AS positive_id, CAST(row_number() OVER o AS INTEGER) AS rank, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW o AS (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) QUALIFY row_number() OVER o <= 10""")
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = documents(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
