@@ -234,6 +234,13 @@ def format_conversations(
     return made.withColumnRenamed("conv", conv_col)
 
 
+def in_order(packs: DataFrame) -> DataFrame:
+    """Stored packs as they were made: every pack in one partition, ends before the turn that follows them, the
+    end of a conversation's own turns before ends that lead further back."""
+    back = F.element_at("attends", -1)["end"]
+    return packs.repartition("pack").sortWithinPartitions("pack", "start", F.col("n_turns").isNull(), back.desc())
+
+
 class _Read(NamedTuple):
     """What has been read down to a turn: its end in the pack, its path's length, turns, digests and counts."""
 
@@ -251,9 +258,8 @@ def read_conversations(packs: DataFrame, path: str, pattern: str, conv_col: str
     turns_sha256 (role, line end, text, line end of every turn), loss_chars, loss_sha256 (texts under the
     mask), formatted_chars.
 
-    ``packs`` is what ``format_conversations`` gives, the rows of a pack together and in order; if it was stored in between,
-    deal it by ``pack`` and sort partitions by pack, start and whether ``n_turns`` is null (nulls first).
-    Digests are carried down the path, so a shared turn is read once. Intervals or positions that
+    ``packs`` is what ``format_conversations`` gives, the rows of a pack together and in order; if it was stored in
+    between, ``in_order`` of it. Digests are carried down the path, so a shared turn is read once. Intervals or positions that
     do not lead back to a turn read before raise ValueError. No rows give no rows.
     """
 
