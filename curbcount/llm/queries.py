@@ -149,8 +149,8 @@ RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
 
 _SUFFIX = r"CASE WHEN regexp_matches(host, '(^|\.)(ac|co|com|edu|gov|net|org)\.[a-z][a-z]$') THEN regexp_extract(host, '([^.]*\.[^.]*)$', 1) ELSE regexp_extract(host, '([^.]*)$', 1) END"
 _DOMAIN = r"CASE WHEN contains(suffix, '.') THEN regexp_extract(host, '((?:[^.]*\.)?[^.]*\.[^.]*)$', 1) ELSE regexp_extract(host, '((?:[^.]*\.)?[^.]*)$', 1) END"
-_WORTH = """coalesce(greatest(1.0, least(1000.0, CASE WHEN (sum(n * n * (k / n - up) * (k / n - up)) - sum(n * up * (1 - up))) / nullif(sum(n * (n - 1) * up * (1 - up)), 0) > 0
-  THEN 1 / ((sum(n * n * (k / n - up) * (k / n - up)) - sum(n * up * (1 - up))) / nullif(sum(n * (n - 1) * up * (1 - up)), 0)) - 1 ELSE 1000.0 END)), 1000.0)"""
+_WORTH = """coalesce(greatest(1.0, least(1000.0, CASE WHEN (sum(n * n * (k / nullif(n, 0) - up) * (k / nullif(n, 0) - up)) - sum(n * up * (1 - up))) / nullif(sum(n * (n - 1) * up * (1 - up)), 0) > 0
+  THEN 1 / ((sum(n * n * (k / nullif(n, 0) - up) * (k / nullif(n, 0) - up)) - sum(n * up * (1 - up))) / nullif(sum(n * (n - 1) * up * (1 - up)), 0)) - 1 ELSE 1000.0 END)), 1000.0)"""
 
 
 def _level(name: str, source: str) -> str:
@@ -164,10 +164,10 @@ WITH page AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 label AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
-h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS k FROM page JOIN label USING (page_id) WHERE host <> '' GROUP BY host),
+h AS (SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS k FROM page LEFT JOIN label USING (page_id) WHERE host <> '' GROUP BY host),
 hs AS (SELECT *, {_SUFFIX} AS suffix FROM h),
 hd AS (SELECT *, {_DOMAIN} AS domain FROM hs),
-s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT sum(k) / sum(n) FROM h) AS up FROM hd GROUP BY suffix), {_level('suf', 's0')},
+s0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT sum(k) / nullif(sum(n), 0) FROM h) AS up FROM hd GROUP BY suffix), {_level('suf', 's0')},
 d0 AS (SELECT c.*, p.mean AS up FROM (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hd GROUP BY ALL) c JOIN suf_p p USING (suffix)), {_level('dom', 'd0')},
 h0 AS (SELECT c.host, c.n, c.k, p.mean AS up FROM hd c JOIN dom_p p USING (domain)), {_level('hos', 'h0')},
 known AS (SELECT host, mean, mean - 2.0 * sqrt(mean * (1 - mean) / (n + s + 1)) AS low FROM hos_p),
