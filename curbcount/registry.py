@@ -12,7 +12,7 @@ from curbcount.functions import geo
 from curbcount.functions.text import file_label
 from curbcount.operators import quality, series
 from curbcount.operators.lookup import lookup_join
-from curbcount.plans import accuracy, cycles, forecast, preparation, rollups
+from curbcount.plans import accuracy, cycles, forecast, preparation, rollups, scores
 from curbcount.plans import standins as st
 from curbcount.session import new_path
 from curbcount.sources import snapshots, tables, topics
@@ -622,14 +622,14 @@ def daily_copy(spark, folder):
     """Typed copy by event date, read from a bound on; older dates are not opened."""
     root = new_path(spark, "daily")
     tables.write_by_day(st.captures(spark, folder), root)
-    return tables.read_by_day(spark, root, F.lit(SINCE).cast("timestamp_ntz"))
+    return tables.read_by_day(spark, root, st.CAPTURE, F.lit(SINCE).cast("timestamp_ntz"))
 
 
 @_query(_with(_CAPTURE) + "SELECT * FROM capture")
 def daily_copy_whole(spark, folder):
     root = new_path(spark, "daily")
     tables.write_by_day(st.captures(spark, folder), root)
-    return tables.read_by_day(spark, root)
+    return tables.read_by_day(spark, root, st.CAPTURE)
 
 
 @_query(_with(_CAPTURE) + "SELECT * FROM capture")
@@ -649,6 +649,15 @@ def csv_to_topic(spark, folder):
     return topics.snapshot(spark, topic)
 
 
+@_query(_with(_CAPTURE) + f"SELECT * FROM capture WHERE Timestamp >= TIMESTAMP '{SINCE}'")
+def history_from_log(spark, folder):
+    """A log of several appends read from a bound on: only the files whose times reach it are opened."""
+    topic = Topic("captures", st.CAPTURE, new_path(spark, "topic"))
+    for part in preparation.split_history(st.captures(spark, folder), SPLIT_AT)[:2]:
+        topics.append(part, topic)
+    return topics.snapshot(spark, topic, F.lit(SINCE).cast("timestamp_ntz"))
+
+
 @_query("""SELECT user_id AS SegmentID, event_type AS Direction, CAST(floor(value) AS INTEGER) AS Vol,
        date_trunc('minute', ts) AS Timestamp FROM events""")
 def minute_records(spark, folder):
@@ -762,7 +771,7 @@ def stream_daily_copy(spark, folder):
     root = new_path(spark, "stream-copy")
     rows = topics.stream(spark, _replayed(spark, folder, root))
     sq.await_or_stop(sq.start_daily_copy(rows, f"{root}/copy", f"{root}/checkpoint", every_seconds=None))
-    return tables.read_by_day(spark, f"{root}/copy", F.lit(SINCE).cast("timestamp_ntz"))
+    return tables.read_by_day(spark, f"{root}/copy", st.CAPTURE, F.lit(SINCE).cast("timestamp_ntz"))
 
 
 @_query("""SELECT user_id AS SegmentID, event_type AS Direction, CAST(floor(value) AS INTEGER) AS Vol,
@@ -771,7 +780,7 @@ def stream_daily_copy_whole(spark, folder):
     root = new_path(spark, "stream-copy")
     rows = topics.stream(spark, _replayed(spark, folder, root))
     sq.await_or_stop(sq.start_daily_copy(rows, f"{root}/copy", f"{root}/checkpoint", every_seconds=None))
-    return tables.read_by_day(spark, f"{root}/copy")
+    return tables.read_by_day(spark, f"{root}/copy", st.CAPTURE)
 
 
 @_query(_with(_CAPTURE, _SEGMENT) + """
@@ -785,8 +794,7 @@ def stream_partial_means(spark, folder):
     handle = sq.latest_captures_writer(f"{root}/served", st.segments(spark, folder))
     query = sq.start_micro_batches(ticked, handle, f"{root}/checkpoint", every_seconds=None)
     sq.await_or_stop(query)
-    parts = spark.read.parquet(f"{root}/served/partials").drop(sq.RUN, sq.EPOCH)
-    return rollups.merge_partials(parts).withColumn("Vol", _r("Vol"))
+    return sq.stored_means(spark, f"{root}/served/partials").withColumn("Vol", _r("Vol"))
 
 
 @_query(_with(_CAPTURE, _SEGMENT, _PREDICTION) + """
@@ -854,6 +862,90 @@ def forecast_cycle_rows(spark, folder):
     return topics.snapshot(spark, guesses).drop("prediction_vol")
 
 
+_ACCURACY = _with(_CAPTURE, _PREDICTION, _ERRORS) + """
+SELECT range_days, future_forecasting_minutes, round(avg(AE), 6) AS MAE, round(avg(APE), 6) AS MAPE, count(*) AS pairs,
+       count(*) FILTER (Vol = 0) AS zero_vol
+FROM scored WHERE range_days IN (1, 3, 7) GROUP BY ALL"""
+
+
+@_query(_ACCURACY)
+def stream_accuracy(spark, folder):
+    """Accuracy kept up to date by a stream of both logs: captures and predictions come in parts, in no order of time,
+    some of them twice; the served table is that of both whole tables."""
+    root = new_path(spark, "stream-accuracy")
+    captures, guesses = Topic("captures", st.CAPTURE, f"{root}/captures"), Topic("predictions", st.PREDICTION, f"{root}/predictions")
+    history, live, _ = preparation.split_history(st.captures(spark, folder), SPLIT_AT)
+    late = F.pmod("SegmentID", F.lit(3)) == 0
+    handle = scores.accuracy_writer(f"{root}/accuracy", captures=st.CAPTURE, predictions=st.PREDICTION)
+    again = st.captures(spark, folder).filter(late)
+    for seen, guessed in ((live, "SegmentID % 2 = 0"), (history.filter(~late), "SegmentID % 2 = 1"), (again, "SegmentID % 2 = 0")):
+        topics.append(seen, captures)
+        topics.append(st.predictions(spark, folder).filter(guessed), guesses)
+        both = scores.both_logs(topics.stream(spark, captures), topics.stream(spark, guesses))
+        sq.await_or_stop(sq.start_micro_batches(both, handle, f"{root}/checkpoint", every_seconds=None))
+    served = snapshots.read_latest(spark, f"{root}/accuracy/served", scores.ACCURACY)
+    return served.withColumns({"MAE": _r("MAE"), "MAPE": _r("MAPE")})
+
+
+@_query(_ACCURACY)
+def published_accuracy(spark, folder):
+    """The same table computed anew by a cycle over both logs, and served."""
+    root = new_path(spark, "accuracy")
+    captures, guesses = Topic("captures", st.CAPTURE, f"{root}/captures"), Topic("predictions", st.PREDICTION, f"{root}/predictions")
+    topics.append(st.captures(spark, folder), captures)
+    topics.append(st.predictions(spark, folder), guesses)
+    cycles.accuracy_cycle(spark, captures, guesses, root=f"{root}/served", version=1)
+    served = snapshots.read_latest(spark, f"{root}/served", scores.ACCURACY)
+    return served.withColumns({"MAE": _r("MAE"), "MAPE": _r("MAPE")})
+
+
+@_query(_with(_CAPTURE) + f"SELECT * FROM capture WHERE Timestamp > TIMESTAMP '{SPLIT_AT}'")
+def stream_from_latest(spark, folder):
+    """A stream that starts at the end of a log: of what was there before it has nothing, of what comes, all."""
+    root = new_path(spark, "from-latest")
+    topic = Topic("captures", st.CAPTURE, f"{root}/log")
+    history, live, _ = preparation.split_history(st.captures(spark, folder), SPLIT_AT)
+    copy = lambda batch, epoch: tables.write_by_day(batch, f"{root}/copy", batch=str(epoch))
+    topics.append(history, topic)
+    sq.await_or_stop(sq.start_from_latest(spark, topic, copy, f"{root}/checkpoint", every_seconds=None))
+    topics.append(live, topic)
+    sq.await_or_stop(sq.start_from_latest(spark, topic, copy, f"{root}/checkpoint", every_seconds=None))
+    return tables.read_by_day(spark, f"{root}/copy", st.CAPTURE)
+
+
+@_query("""WITH texts AS (
+  SELECT CASE event_id % 5 WHEN 0 THEN 'broken' WHEN 1 THEN '{"SegmentID":"x","Direction":"N","Timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}'
+              WHEN 2 THEN '{"SegmentID":' || user_id || ',"Direction":"' || event_type || '"}'
+              ELSE '{"SegmentID":' || user_id || ',"Direction":"' || event_type || '","Vol":1,"Timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}' END AS value,
+         CASE event_id % 5 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'type SegmentID' WHEN 2 THEN 'missing Timestamp' END AS reason FROM events)
+SELECT value AS rejected, reason, count(*) AS records FROM texts WHERE reason IS NOT NULL GROUP BY ALL
+UNION ALL SELECT NULL, NULL, count(*) FROM texts WHERE reason IS NULL""")
+def cycle_quarantine(spark, folder):
+    """What a cycle rejects is published with text and reason; with the good records it is the whole log."""
+    root = new_path(spark, "quarantine")
+    topic = Topic("captures", st.CAPTURE, f"{root}/log")
+    kind, time = F.pmod("event_id", F.lit(5)), et.format_event_time("ts")
+    good = F.struct(F.col("user_id").alias("SegmentID"), F.col("event_type").alias("Direction"), F.lit(1).alias("Vol"), time.alias("Timestamp"))
+    texts = F.when(kind == 0, "broken").when(kind == 1, F.to_json(F.struct(F.lit("x").alias("SegmentID"), F.lit("N").alias("Direction"), time.alias("Timestamp"))))
+    texts = texts.when(kind == 2, F.to_json(F.struct(F.col("user_id").alias("SegmentID"), F.col("event_type").alias("Direction")))).otherwise(F.to_json(good))
+    st.events(spark, folder).select(texts.alias("value")).write.text(topic.location)
+    valid = cycles.checked(spark, topic, schemas.CAPTURE_KEYS, quarantine=f"{root}/rejected")
+    kept = valid.select(F.lit(None).cast("string").alias("rejected"), F.lit(None).cast("string").alias("reason"))
+    stored = snapshots.read_latest(spark, f"{root}/rejected", cycles.REJECTED)
+    return stored.unionByName(kept).groupBy("rejected", "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@_query("SELECT 1 AS runs, true AS stamped_now")
+def run_time_now(spark, folder):
+    """Without a given run time all rows of a forecast carry one, between its start and its end."""
+    clock = lambda: spark.range(1).select(F.current_timestamp().cast("timestamp_ntz").alias("t")).first()["t"]
+    root, begun = new_path(spark, "stamped"), clock()
+    forecast.as_predictions(forecast.trend_forecast(st.captures(spark, folder))).write.parquet(root)
+    stored = spark.read.parquet(root)
+    during = F.min("prediction_ds").between(F.lit(begun), F.lit(clock())) & F.max("prediction_ds").between(F.lit(begun), F.lit(clock()))
+    return stored.agg(F.count_distinct("prediction_ds").cast("int").alias("runs"), during.alias("stamped_now"))
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 

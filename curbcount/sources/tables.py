@@ -14,6 +14,7 @@ from curbcount.functions.text import file_label
 
 CORRUPT = "_corrupt_record"
 DAY = "event_date"
+BATCH = "batch"
 
 
 def read_csv(
@@ -83,17 +84,21 @@ def write_by_borough(df: DataFrame, path: str, header: bool = False, boro: str =
     )
 
 
-def write_by_day(df: DataFrame, path: str, ts: str = "Timestamp", mode: str = "append") -> None:
-    """Typed parquet copy, one folder per event date, so time bounds prune folders."""
+def write_by_day(df: DataFrame, path: str, ts: str = "Timestamp", batch: str = "0") -> None:
+    """Typed parquet copy, one folder per event date, so time bounds prune folders.
+
+    Rows are added as the batch of this name; a batch that is written again replaces itself.
+    """
     dated = df.withColumn(DAY, F.to_date(ts))
-    dated.hint("rebalance", DAY).write.mode(mode).partitionBy(DAY).parquet(path)
+    dated.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/{BATCH}={batch}")
 
 
 def read_by_day(
-    spark: SparkSession, path: str, since: Column | None = None, ts: str = "Timestamp"
+    spark: SparkSession, path: str, layout: StructType | list[str] | str, since: Column | None = None, ts: str = "Timestamp"
 ) -> DataFrame:
-    """Read such a copy back; ``since`` is an inclusive lower bound on the event time."""
-    table = spark.read.parquet(path)
+    """Read such a copy, or that of a stream, back; ``since`` is an inclusive lower bound on the event time."""
+    declared = StructType(schemas.resolve(layout).fields).add(DAY, "date").add(BATCH, "string")
+    table = spark.read.schema(declared).parquet(path)
     if since is not None:
         table = table.filter((F.col(DAY) >= F.to_date(since)) & (F.col(ts) >= since))
-    return table.drop(DAY)
+    return table.drop(DAY, BATCH)

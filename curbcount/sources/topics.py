@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructType
 
 from curbcount import schemas
 from curbcount.functions.event_time import SECOND_FORMAT, format_event_time, parse_event_time
+from curbcount.sources import zones
 from curbcount.sources.tables import read_csv
 
 
@@ -58,6 +59,24 @@ def decode(df: DataFrame, schema: StructType | list[str] | str) -> DataFrame:
     return df.select(record.alias("record")).select("record.*")
 
 
+def decode_checked(df: DataFrame, schema: StructType | list[str] | str, keys: Sequence[str] = ()) -> DataFrame:
+    """:func:`decode` with two more columns: ``reason``, why a record does not count, and its text in ``rejected``.
+
+    The reason is the first of: ``not JSON`` (no JSON object), ``type <field>`` (there is a value that does not fit the
+    declared type), ``missing <key>``. It is null for good records, and so is their text. Blank values are missing ones.
+    """
+    layout = schemas.resolve(schema)
+    text = F.col("value").cast("string")
+    read = df.select(text.alias("text"), F.from_json(text, layout).alias("r"), F.from_json(text, "map<string,string>").alias("given"))
+    reason = F.when(F.col("given").isNull(), "not JSON")
+    for name in layout.names:
+        there = F.trim(F.col("given")[name])
+        reason = reason.when((F.coalesce(there, F.lit("")) != "") & F.col("r")[name].isNull(), f"type {name}")
+    for key in keys:
+        reason = reason.when(F.col("r")[key].isNull(), f"missing {key}")
+    return read.withColumn("reason", reason).select("r.*", "reason", F.when(F.col("reason").isNotNull(), F.col("text")).alias("rejected"))
+
+
 def split_valid(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose keys are all present, and the rest for quarantine."""
     missing = F.lit(False)
@@ -106,7 +125,7 @@ def since(df: DataFrame, bound, ts: str = "Timestamp") -> DataFrame:
 
 
 def append(df: DataFrame, topic: Topic, time_format: str = SECOND_FORMAT) -> None:
-    """Encode ``df`` and add it to the log."""
+    """Encode ``df`` and add it to the log. Of files, the span of event time is noted beside the log."""
     records = encode(df, time_format)
     if topic.brokers:
         (
@@ -117,6 +136,7 @@ def append(df: DataFrame, topic: Topic, time_format: str = SECOND_FORMAT) -> Non
         )
     else:
         records.write.mode("append").text(topic.location)
+        zones.index(df.sparkSession, topic.location, topic.layout())
 
 
 def append_csv(spark: SparkSession, paths, topic: Topic, header: bool = False) -> None:
@@ -130,13 +150,36 @@ def _broker(reader, topic: Topic, offsets: str) -> DataFrame:
     return reader.format("kafka").options(**options).load()
 
 
+def checked_snapshot(spark: SparkSession, topic: Topic, keys: Sequence[str], bound=None, ts: str = "Timestamp") -> DataFrame:
+    """:func:`snapshot` with the columns of :func:`decode_checked`. Rejected records without a time meet every bound."""
+    read = decode_checked(_raw(spark, topic, bound, ts), topic.layout(), keys)
+    if bound is None:
+        return read
+    late = F.col(ts) >= (bound if isinstance(bound, Column) else F.lit(bound))
+    return read.filter(late | (F.col(ts).isNull() & F.col("reason").isNotNull()))
+
+
 def snapshot(spark: SparkSession, topic: Topic, bound=None, ts: str = "Timestamp") -> DataFrame:
-    """All records so far, from the earliest one, as a typed table."""
+    """All records so far, from the earliest one, as a typed table.
+
+    With a bound only those files are opened whose span of event time, as noted when they were written, may
+    reach it; files without a note are always read.
+    """
+    return since(decode(_raw(spark, topic, bound, ts), topic.layout()), bound, ts)
+
+
+def newest_run(spark: SparkSession, topic: Topic, run: str = "prediction_ds") -> DataFrame:
+    """The records that may belong to the newest run: files whose runs are all older than a noted one are not opened."""
+    bound = None if topic.brokers else zones.last_noted(spark, topic.location, run)
+    return snapshot(spark, topic, bound, run)
+
+
+def _raw(spark: SparkSession, topic: Topic, bound, ts: str) -> DataFrame:
     if topic.brokers:
-        raw = _broker(spark.read, topic, "earliest")
-    else:
-        raw = spark.read.text(topic.location)
-    return since(decode(raw, topic.layout()), bound, ts)
+        return _broker(spark.read, topic, "earliest")
+    if bound is None or ts not in schemas.timestamp_columns(topic.layout()):
+        return spark.read.text(topic.location)
+    return zones.read_since(spark, topic.location, topic.layout(), ts, bound)
 
 
 def stream(spark: SparkSession, topic: Topic, files_per_trigger: int | None = None) -> DataFrame:

@@ -12,12 +12,17 @@ from curbcount import schemas
 from curbcount.functions.event_time import seconds, tick_floor
 from curbcount.operators.lookup import lookup_join
 from curbcount.plans.rollups import borough_means, borough_partials, for_display, merge_partials, partials
+from curbcount.session import remove
+from curbcount.sources import files, topics
+from curbcount.sources.generations import Generations
 from curbcount.sources.snapshots import publish
 from curbcount.sources.tables import DAY
 
 BatchFunction = Callable[[DataFrame, int], None]
-EPOCH = "epoch"
-RUN = "run"
+PARTIALS = "Boro STRING, Timestamp TIMESTAMP_NTZ, sum_vol BIGINT, n_vol BIGINT"
+FORECAST_PARTIALS = "Boro STRING, Timestamp TIMESTAMP_NTZ, sum_vol DOUBLE, n_vol BIGINT"
+#: Files that a day's rows of one micro-batch go to.
+DAY_FILES = 4
 
 
 def start_micro_batches(
@@ -38,6 +43,21 @@ def start_micro_batches(
     return writer.trigger(processingTime=f"{every_seconds} seconds").start()
 
 
+def start_from_latest(
+    spark: SparkSession, topic: topics.Topic, handle: BatchFunction, checkpoint: str,
+    every_seconds: int | None = schemas.CYCLE_SECONDS, files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """:func:`start_micro_batches` over what is added to a log from now on.
+
+    Brokers begin at their newest record. On files a new checkpoint is first led to the end of the log by a run
+    whose handler touches no batch: files are listed and noted as read, but not opened. An old
+    checkpoint goes on where it stopped. Epochs count from the end of that run.
+    """
+    if not topic.brokers and not files.listing(spark, f"{checkpoint}/commits"):
+        await_or_stop(start_micro_batches(topics.stream(spark, topic), lambda batch, epoch: None, checkpoint, None))
+    return start_micro_batches(topics.stream(spark, topic, files_per_trigger), handle, checkpoint, every_seconds)
+
+
 def await_or_stop(query: StreamingQuery, timeout: float | None = None) -> bool:
     """Wait for the query; stop it on interrupt or when the time is over. True if it ended."""
     ended = False
@@ -61,7 +81,8 @@ def start_daily_copy(
 
     Batch jobs then read only the dates and columns they need instead of decoding the log.
     """
-    dated = stream.withColumn(DAY, F.to_date(ts))
+    # not a file for every task and date: a few for each date
+    dated = stream.withColumn(DAY, F.to_date(ts)).repartition(F.col(DAY), F.pmod(F.xxhash64(*stream.columns), F.lit(DAY_FILES)))
     writer = dated.writeStream.format("parquet").partitionBy(DAY).option("checkpointLocation", checkpoint)
     if every_seconds is None:
         return writer.trigger(availableNow=True).start(path)
@@ -118,29 +139,33 @@ def run_of(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
 
 
-def epoch_folder(root: str, batch: DataFrame, epoch: int) -> str:
-    """A folder of its own for every epoch of every checkpoint."""
-    return f"{root}/{RUN}={run_of(batch) or 'none'}/{EPOCH}={epoch}"
-
+def _sums(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("Boro", "Timestamp").agg(F.sum("sum_vol").alias("sum_vol"), F.sum("n_vol").alias("n_vol"))
 
-def epoch_writer(root: str, transform: Callable[[DataFrame], DataFrame]) -> BatchFunction:
-    """Handler that writes ``transform(batch)`` to a folder named by checkpoint and epoch.
 
-    A repeated epoch replaces its own folder, so the table holds every batch once, and a new
-    checkpoint, whose epochs begin at 0 again, replaces nothing.
-    """
+def stored_partials(spark: SparkSession, root: str, layout: str = PARTIALS) -> Generations:
+    """The borough sums of all batches, merged in levels as they grow in number."""
+    return Generations(spark, root, layout, _sums)
 
-    def handle(batch: DataFrame, epoch: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(epoch_folder(root, batch, epoch))
 
-    return handle
+def stored_means(spark: SparkSession, root: str) -> DataFrame:
+    """Means of all windows, from the sums of all batches."""
+    return merge_partials(stored_partials(spark, root).read())
 
 
 def partial_means_writer(
     root: str, segments: DataFrame, value: str = "Vol", ts: str = "Timestamp"
 ) -> BatchFunction:
-    """Handler that appends mergeable borough sums, for ticks that span several batches."""
-    return epoch_writer(root, lambda batch: borough_partials(batch, segments, value, ts))
+    """Handler that adds mergeable borough sums, for ticks that span several batches."""
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        store, run = stored_partials(batch.sparkSession, root), run_of(batch)
+        # this batch may be a repeated one, so it and what follows stay outside the merged sets
+        store.compact(before=(run, epoch))
+        sums = borough_partials(batch, segments, value, ts)
+        store.add(sums.select("Boro", F.col(ts).alias("Timestamp"), F.col("sum_vol").cast("bigint").alias("sum_vol"), "n_vol"), run, epoch)
+
+    return handle
 
 
 def latest_captures_writer(root: str, segments: DataFrame) -> BatchFunction:
@@ -161,20 +186,31 @@ def latest_captures_writer(root: str, segments: DataFrame) -> BatchFunction:
 def latest_forecasts_writer(root: str, segments: DataFrame) -> BatchFunction:
     """Handler for new predictions: serve the borough means of the newest run of the forecast.
 
-    A run may come in several batches, and a batch may hold several runs. So every batch leaves sums by run
-    time, in folders by run time, and what is served merges all sums of the newest one: only its
-    folders are opened.
+    A run may come in several batches, and a batch may hold several runs. The newest run time so far is a fact in a
+    small manifest, no sums are opened to find it. Only sums of that run are kept: an older one
+    never becomes the newest again. They are merged in levels, so a run of very many batches opens few folders.
     """
     parts = f"{root}-sums"
 
+    def of(spark: SparkSession, run_time: str) -> Generations:
+        return stored_partials(spark, f"{parts}/{run_time.replace(':', '').replace(' ', 'T')}", FORECAST_PARTIALS)
+
     def handle(batch: DataFrame, epoch: int) -> None:
-        sums = partials(batch, "prediction_vol", ["Timestamp", "prediction_ds"], segments, ["Boro"])
-        named = sums.select("Boro", "Timestamp", F.col("__sum").alias("sum_vol"), F.col("__count").alias("n_vol"), F.col("prediction_ds").cast("string").alias("of_run"))
-        named.write.mode("overwrite").partitionBy("of_run").parquet(epoch_folder(parts, batch, epoch))
-        layout = f"Boro STRING, Timestamp TIMESTAMP_NTZ, sum_vol DOUBLE, n_vol BIGINT, {RUN} STRING, {EPOCH} BIGINT, of_run STRING"
-        stored = batch.sparkSession.read.schema(layout).parquet(parts)
-        newest = stored.agg(F.max("of_run").alias("of_run")).scalar()
-        publish(for_display(merge_partials(stored.filter(F.col("of_run") == newest))), root, epoch, run_of(batch))
+        spark, run = batch.sparkSession, run_of(batch)
+        state = stored_partials(spark, f"{parts}/newest", FORECAST_PARTIALS)
+        known = state.facts().get("newest", "")
+        newest = batch.agg(F.max("prediction_ds").cast("string")).first()[0] or ""
+        if newest < known or not newest:
+            return
+        store = of(spark, newest)
+        store.compact(before=(run, epoch))
+        ahead = batch.filter(F.col("prediction_ds") == F.lit(newest).cast("timestamp_ntz"))
+        sums = partials(ahead, "prediction_vol", ["Timestamp"], segments, ["Boro"])
+        store.add(sums.select("Boro", "Timestamp", F.col("__sum").alias("sum_vol"), F.col("__count").alias("n_vol")), run, epoch)
+        state.note(newest=newest)
+        publish(for_display(merge_partials(store.read())), root, epoch, run)
+        if known and known != newest:
+            remove(spark, of(spark, known).root)
 
     return handle
 

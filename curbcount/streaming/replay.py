@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbcount import schemas
 from curbcount.functions.event_time import MINUTE_FORMAT, tick_floor
 from curbcount.session import new_path, scratch
+from curbcount.sources import files
 from curbcount.sources.topics import Topic, append, encoded
 
 DEFAULT_SLICE_SECONDS = 24 * 3600
@@ -35,9 +38,9 @@ def write_replay_log(
 
     The file stream source takes files by modification time, so later slices are read later.
     A stream whose watermark delay is at least ``slice_seconds`` then drops nothing, however
-    the files of one slice fall into micro-batches. The source is read once, into a staging table with a
-    folder per slice; each slice of the log is then copied from its own folder, and can be repeated: it
-    replaces itself. Slices without rows are left out, so a gap costs nothing, and their number has no
+    the files of one slice fall into micro-batches. One job writes all slices, each by several tasks if it is large; then
+    their folders are renamed into place, oldest first, and their files dated in that order, so the number of
+    jobs does not grow with the number of slices. A slice replaces itself when the log is written again. Slices without rows are left out, so a gap costs nothing, and their number has no
     limit. Rows without event time belong to no slice; they go to ``<path>-untimed``, in the same form.
     Returns the number of slices from the first to the last.
     """
@@ -48,12 +51,16 @@ def write_replay_log(
         staging = new_path(spark, "replay")
         staged = captures.select(number.alias(SLICE), F.struct(*captures.columns).alias("record"))
         records = staged.select(SLICE, encoded("record", captures.schema, time_format).alias("value"))
-        records.hint("rebalance", SLICE).write.partitionBy(SLICE).parquet(staging)
-        stored = spark.read.schema(f"value STRING, {SLICE} BIGINT").parquet(staging)
-        untimed = stored.filter(F.col(SLICE).isNull()).select("value")
-        if not untimed.isEmpty():
-            untimed.write.mode("overwrite").text(f"{path}-untimed")
-        numbers = [r[0] for r in stored.filter(F.col(SLICE).isNotNull()).select(SLICE).distinct().orderBy(SLICE).collect()]
-        for n in numbers:
-            stored.filter(F.col(SLICE) == n).select("value").write.mode("overwrite").text(f"{path}/{SLICE}={n:06d}")
+        records.hint("rebalance", SLICE).write.partitionBy(SLICE).text(staging)
+        names = [e.name.removeprefix(f"{SLICE}=") for e in files.listing(spark, staging) if e.folder]
+        numbers = sorted(int(n) for n in names if n.isdigit())
+        for name in names:
+            if not name.isdigit():
+                files.move(spark, f"{staging}/{SLICE}={name}", f"{path}-untimed")
+        begun = int(time.time() * 1000) - len(numbers)
+        for k, n in enumerate(numbers):
+            folder = f"{path}/{SLICE}={n:06d}"
+            files.move(spark, f"{staging}/{SLICE}={n}", folder)
+            for entry in files.listing(spark, folder):
+                files.touch(spark, entry.path, begun + k)
     return numbers[-1] + 1 if numbers else 0

@@ -150,7 +150,8 @@ def test_kafka_topics_use_the_connector(spark, make):
 def test_daily_copy_prunes_and_pushes(spark, make, tmp_path):
     path = str(tmp_path / "daily")
     tables.write_by_day(make(CAPTURES), path)
-    recent = tables.read_by_day(spark, path, F.lit("2017-06-20 00:30:00").cast("timestamp_ntz"))
+    tables.write_by_day(make(CAPTURES), path)  # a repeated copy replaces itself
+    recent = tables.read_by_day(spark, path, schemas.CAPTURE, F.lit("2017-06-20 00:30:00").cast("timestamp_ntz"))
     assert rows(recent) == sorted(CAPTURES[1:])
     text = plan(recent)
     assert "event_date" in text.split("PartitionFilters: [")[1].split("]")[0]
