@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Generic, TypeVar
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbcount.llm.common import columns, kept, slices
 
+Value = TypeVar("Value")
+
 SLICE_BYTES = 4 << 20
 #: Encoded words a worker knows in each of two generations.
 KNOWN_WORDS = 400_000
@@ -60,9 +63,7 @@ WITH RECURSIVE state(spot, id, m, done) AS (
 SELECT spot, id FROM state WHERE done ORDER BY spot"""
 
 _DECODE = """
-SELECT doc, string_agg(piece, '' ORDER BY pos) AS chars
-FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM encoded) JOIN vocabulary USING (id)
-GROUP BY doc ORDER BY doc"""
+SELECT doc, string_agg(piece, '' ORDER BY pos) AS chars FROM encoded JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc"""
 
 
 class ByteBpe:
@@ -72,8 +73,11 @@ class ByteBpe:
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
         self.words = regex.compile(pattern)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Ids of words; ids of pieces, and what these decode to.
+        self.known: Known[bytes] = Known(KNOWN_WORDS)
+        self.pieces: Known[tuple[bytes, bytes]] = Known(KNOWN_WORDS)
+        self._valid = np.zeros(max(self.ranks.values()) + 1, bool)
+        self._valid[list(self.ranks.values())] = True
         self._byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         left, merged = [], []
         for token, rank in self.ranks.items():
@@ -143,7 +147,7 @@ class ByteBpe:
                 reach *= 2
         return whole
 
-    def encode_words(self, words: set[str]) -> dict[str, bytes]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """The words' ids as little-endian bytes. A word in the vocabulary is its own token."""
         out, new, long = {}, [], []
         for word in words:
@@ -157,66 +161,149 @@ class ByteBpe:
         for word, raw in long:
             parts = self.merge([raw[i : i + PART_BYTES] for i in range(0, len(raw), PART_BYTES)])
             out[word] = np.array(self._join(parts), "<u4").tobytes()
-        return out
+        return [out[word] for word in words]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of every text, four little-endian bytes each. Every match of the pattern is encoded apart.
 
         A space between two visible characters starts a match whatever stands before it, so texts are
         first cut there, and each distinct piece is matched and encoded once.
         """
-        cut = [_cut(t) for t in texts]
-        pieces = {p for own in cut for p in own}
-        # what was once a match is a match as a whole
-        coded = {p: self.known[p] for p in pieces if p in self.known}
-        matches = {p: self.words.findall(p) for p in pieces.difference(coded)}
-        self._learn({w for own in matches.values() for w in own})
-        coded.update((p, b"".join(map(self.known.__getitem__, own))) for p, own in matches.items())
-        return [b"".join(map(coded.__getitem__, own)) for own in cut]
-
-    def _learn(self, words: set[str]) -> None:
-        """Has all the words in ``known``. Words that come again outlive a change of generation."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known, self.older = {}, self.known
-        missing = words.difference(self.known)
-        again = {w: self.older[w] for w in missing if w in self.older}
-        self.known.update(again)
-        self.known.update(self.encode_words(missing.difference(again)))
+        pieces, numbers, ends = cut(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        return [bytes(x) for x in gathered(self.encode_pieces(pieces), numbers, ends)]
+
+    def round_trip(self, texts: pa.Array) -> tuple[list[memoryview], list[memoryview]]:
+        """Ids of every text, and what they decode to: the distinct pieces' ids are decoded and put together alike."""
+        pieces, numbers, ends = cut(texts)
+        pairs = self.pieces.all(pieces, self._there_and_back)
+        return gathered([ids for ids, _ in pairs], numbers, ends), gathered([raw for _, raw in pairs], numbers, ends)
+
+    def _there_and_back(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        coded = self.encode_pieces(pieces)
+        return list(zip(coded, self.decode(coded)))
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of every piece."""
+        matches = [self.words.findall(p) for p in pieces]
+        words = list({w for own in matches for w in own})
+        coded = dict(zip(words, self.known.all(words, self.encode_words)))
+        return [coded[own[0]] if len(own) == 1 else b"".join(map(coded.__getitem__, own)) for own in matches]
 
     def decode(self, ids: list[bytes] | list[np.ndarray]) -> list[bytes]:
         """The bytes of every id sequence, by ordered aggregation over its rows. Unknown ids are an error."""
-        arrays = [np.frombuffer(x, "<u4").astype(np.int32) if isinstance(x, bytes) else np.asarray(x, np.int32) for x in ids]
-        parts = [(k, x[i : i + DECODE_TOKENS]) for k, x in enumerate(arrays) for i in range(0, len(x), DECODE_TOKENS)]
-        out: list[list[bytes]] = [[] for _ in arrays]
-        at = 0
-        while at < len(parts):
-            stop, held = at + 1, len(parts[at][1])
-            while stop < len(parts) and held + len(parts[stop][1]) <= DECODE_TOKENS:
-                held += len(parts[stop][1])
-                stop += 1
-            for (k, _), raw in zip(parts[at:stop], self._decoded([x for _, x in parts[at:stop]])):
-                out[k].append(raw)
+        raw = [x if isinstance(x, bytes) else np.asarray(x, "<u4").tobytes() for x in ids]
+        flat = np.frombuffer(b"".join(raw), "<u4")
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        if len(flat) and (flat.max() >= len(self._valid) or not self._valid[flat].all()):
+            raise ValueError("an id is not in the vocabulary")
+        # long sequences in runs, which are whole bytes each
+        runs = np.maximum(1, -(-size // DECODE_TOKENS))
+        owner = np.repeat(np.arange(len(size)), runs)
+        rank = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
+        ends = np.cumsum(np.minimum(DECODE_TOKENS, size[owner] - rank * DECODE_TOKENS))
+        out, at = [], 0
+        while at < len(ends):
+            begin = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, begin + DECODE_TOKENS, side="right")))
+            out += self._decoded(flat[begin : int(ends[stop - 1])], np.diff(ends[at:stop], prepend=begin))
             at = stop
-        return [b"".join(own) for own in out]
+        if len(out) == len(raw):
+            return out
+        whole: list[list[bytes]] = [[] for _ in raw]
+        for k, part in zip(owner.tolist(), out):
+            whole[k].append(part)
+        return [b"".join(own) for own in whole]
+
+    def _decoded(self, flat: np.ndarray, size: np.ndarray) -> list[bytes]:
+        doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        rows = pa.table({"doc": doc, "pos": np.arange(len(flat), dtype=np.int32), "id": flat.astype(np.int32)})
+        found = self._ask(_DECODE, "encoded", rows)
+        chars = [c.encode("latin-1") for c in found["chars"].to_pylist()]
+        if len(chars) == len(size):
+            return chars
+        # sequences without ids have no rows
+        out = [b""] * len(size)
+        for k, c in zip(found["doc"].to_pylist(), chars):
+            out[k] = c
+        return out
 
-    def _decoded(self, arrays: list[np.ndarray]) -> list[bytes]:
-        flat = np.concatenate(arrays)
-        if not np.isin(flat, np.fromiter(self._piece, np.int64)).all():
-            raise ValueError("an id is not in the vocabulary")
-        ends = pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32())
-        rows = pa.table({"doc": np.arange(len(arrays), dtype=np.int32), "ids": pa.ListArray.from_arrays(ends, pa.array(flat))})
-        return [chars.encode("latin-1") for chars in self._ask(_DECODE, "encoded", rows)["chars"].to_pylist()]
 
+class Known(Generic[Value]):
+    """Results by text in two generations of at most ``size``: keys that come again outlive a change."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.now: dict[str, Value] = {}
+        self.older: dict[str, Value] = {}
+
+    def all(self, keys: list[str], make: Callable[[list[str]], list[Value]]) -> list[Value]:
+        """The results of all keys; those of unknown ones are made together."""
+        found = list(map(self.now.get, keys))
+        missing = [n for n, x in enumerate(found) if x is None]
+        if not missing:
+            return found
+        if len(self.now) > self.size:
+            self.now, self.older = {}, self.now
+        new = []
+        for n in missing:
+            old = found[n] = self.older.get(keys[n])
+            if old is None:
+                new.append(n)
+            else:
+                self.now[keys[n]] = old
+        if new:
+            unknown = list(dict.fromkeys([keys[n] for n in new]))
+            made = dict(zip(unknown, make(unknown)))
+            self.now.update(made)
+            for n in new:
+                found[n] = made[keys[n]]
+        return found
 
-_BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
-_TWO_SPACES = re.compile(r"\s\s")
 
+def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct pieces, the numbers of all pieces in order, the end of every text among them). Null is empty.
 
-def _cut(text: str) -> list[str]:
-    if _TWO_SPACES.search(text):
-        return _BEFORE_WORD.split(text)
-    first, *others = text.split(" ")
-    return [first, *(" " + x for x in others)]
+    Texts are cut before single spaces between two characters that are no white space. Other parts stay
+    with the part before them.
+    """
+    lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    flat = lists.flatten().dictionary_encode()
+    code, words = flat.indices.to_numpy(), flat.dictionary.to_pylist()
+    begin = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    empty = pc.equal(pc.binary_length(flat.dictionary), 0)
+    opens, closes = (
+        pc.or_(empty, pc.utf8_is_space(pc.utf8_slice_codeunits(flat.dictionary, a, b))).to_numpy(zero_copy_only=False) for a, b in ((0, 1), (-1, None))
+    )
+    first = np.zeros(len(code) + 1, bool)
+    first[begin[:-1]] = True
+    first = first[:-1]
+    held = np.zeros(len(code), bool)
+    held[1:] = closes[code[:-1]] | opens[code[1:]]
+    held &= ~first
+    start = np.flatnonzero(~held)
+    stop = np.append(start[1:], len(code))
+    # a word as the first of a text, or after a space
+    key = 2 * code[start].astype(np.int64) + first[start]
+    alone = stop - start == 1
+    used = np.zeros(2 * len(words), bool)
+    used[key[alone]] = True
+    number = np.cumsum(used)[key] - 1
+    pieces = [words[k >> 1] if k & 1 else " " + words[k >> 1] for k in np.flatnonzero(used).tolist()]
+    longer: dict[str, int] = {}
+    for k in np.flatnonzero(~alone).tolist():
+        text = " " * (not first[start[k]]) + " ".join([words[c] for c in code[start[k] : stop[k]].tolist()])
+        number[k] = longer.setdefault(text, len(pieces) + len(longer))
+    return [*pieces, *longer], number, np.searchsorted(start, begin[1:])
+
+
+def gathered(values: list[bytes], numbers: np.ndarray, ends: np.ndarray) -> list[memoryview]:
+    """The values of these numbers in a row, cut at the ends."""
+    taken = pa.array(values, pa.large_binary()).take(pa.array(numbers))
+    _, offsets, data = taken.buffers()
+    at = np.frombuffer(offsets, np.int64)[: len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+    places = at[np.concatenate([[0], ends])].tolist()
+    whole = memoryview(data) if data is not None else memoryview(b"")
+    return [whole[a:b] for a, b in zip(places[:-1], places[1:])]
 
 
 def codec(path: str, pattern: str) -> ByteBpe:
@@ -231,8 +318,8 @@ def _coded(docs: DataFrame, path: str, pattern: str, text_col: str, keep_ids: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for part in slices(batches, "text", SLICE_BYTES):
-            ids = bpe.encode([t or "" for t in part["text"].to_pylist()])
-            decoded = [hashlib.sha256(d).hexdigest() for d in bpe.decode(ids)]
+            ids, raw = bpe.round_trip(part["text"])
+            decoded = [hashlib.sha256(d).hexdigest() for d in raw]
             made = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array(decoded, pa.string())]
             if keep_ids:
                 ends = pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]), pa.int32())
