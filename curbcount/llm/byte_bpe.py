@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import columns, kept, slices
+from curbcount.llm.common import columns, kept, record_of, schema_of, slices
 
 Value = TypeVar("Value")
 
@@ -313,7 +313,7 @@ def codec(path: str, pattern: str) -> ByteBpe:
 
 def _coded(docs: DataFrame, path: str, pattern: str, text_col: str, keep_ids: bool) -> DataFrame:
     """record, n_tokens, ids_sha256, decoded_sha256 and, if kept, ids of every row."""
-    named = docs.select(F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("record"), docs[text_col].alias("text"))
+    frame = record_of(docs, [text_col], text=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
@@ -326,9 +326,7 @@ def _coded(docs: DataFrame, path: str, pattern: str, text_col: str, keep_ids: bo
                 made.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))))
             yield pa.record_batch([part["record"], *made], ["record", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 1 + len(made)])
 
-    record = named.schema["record"].dataType.simpleString()
-    schema = f"record {record}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
-    return named.mapInArrow(run, schema)
+    return frame.mapInArrow(run, schema_of(frame, "record", "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,7 +348,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", text_col: str = "text") -> DataFrame:
     """The reverse of ``encode``: invalid UTF-8 becomes the replacement character; null ids give null."""
-    named = encoded.select(F.struct(*[encoded[c] for c in encoded.columns if c != ids_col]).alias("record"), encoded[ids_col].alias("ids"))
+    frame = record_of(encoded, [ids_col], ids=ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
@@ -360,5 +358,5 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "token_id
             raw = bpe.decode(known)
             yield pa.record_batch([batch["record"], pa.array([None if x is None else d.decode("utf-8", "replace") for x, d in zip(ids, raw)], pa.string())], ["record", "text"])
 
-    decoded = named.mapInArrow(run, f"record {named.schema['record'].dataType.simpleString()}, text string")
+    decoded = frame.mapInArrow(run, schema_of(frame, "record", "text string"))
     return decoded.select(*[F.col("record").getField(c).alias(c) for c in encoded.columns if c not in (ids_col, text_col)], F.col("text").alias(text_col))

@@ -76,17 +76,19 @@ def columns(docs: DataFrame, **given: str | Column) -> DataFrame:
 def record_of(docs: DataFrame, without: Iterable[str] = (), **more: str | Column) -> DataFrame:
     """``record``, a struct of all columns but those of ``without``, and further given columns."""
     out = set(without)
-    return docs.select(F.struct(*[named(c) for c in docs.columns if c not in out]).alias("record"), *[(named(c) if isinstance(c, str) else c).alias(n) for n, c in more.items()])
+    held = [named(c) for c in docs.columns if c not in out] or [F.lit(None).cast("int").alias("nothing")]
+    return docs.select(F.struct(*held).alias("record"), *[(named(c) if isinstance(c, str) else c).alias(n) for n, c in more.items()])
 
 
-def fields(record: str, names: Iterable[str]) -> list[Column]:
-    """The fields of these names of a struct column, as columns."""
-    return [F.col(record).getField(n).alias(n) for n in names]
+def whole(frame: DataFrame, names: Iterable[str], **others: str) -> DataFrame:
+    """The rows of ``record`` again: columns of these names in this order, some of them from a column beside it."""
+    return frame.select([(F.col(others[n]) if n in others else F.col("record").getField(n)).alias(n) for n in names])
 
 
-def schema_of(docs: DataFrame, column: str, ddl: str) -> StructType:
-    """A column's own type (names in it may need quotes, so it is never written as text), then those of the DDL."""
-    return StructType([docs.schema[column], *StructType.fromDDL(ddl).fields])
+def schema_of(frame: DataFrame, kept: str | Iterable[str], ddl: str) -> StructType:
+    """The types of columns that stay (names in them may need quotes, so they are never written as text), then the DDL's."""
+    names = [kept] if isinstance(kept, str) else kept
+    return StructType([*(frame.schema[n] for n in names), *StructType.fromDDL(ddl).fields])
 
 
 def documents(spark, folder: str, table: str = "documents") -> DataFrame:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import columns, release, slices
+from curbcount.llm.common import columns, record_of, release, schema_of, slices, whole
 from curbcount.session import materialise
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -196,12 +196,8 @@ def _classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
 
     The other columns travel inside ``record``, so their names never meet those used here.
     """
-    named = docs.select(
-        F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("record"), docs[text_col].alias("text"),
-        docs[id_col].alias("id"), F.monotonically_increasing_id().alias("row"),
-    )
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields)
-    rows = materialise(named.mapInArrow(_local, f"{fields}, own bigint, key bigint, sha string, chars bigint"), "contents")
+    numbered = record_of(docs, [text_col], text=text_col, id=id_col, row=F.monotonically_increasing_id())
+    rows = materialise(numbered.mapInArrow(_local, schema_of(numbered, numbered.columns, "own bigint, key bigint, sha string, chars bigint")), "contents")
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     firsts = rows.where("own = row").select("row", "key", "text")
     classes = firsts.repartition(width, "key").mapInArrow(_grace, "own bigint, class bigint")
@@ -232,4 +228,4 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` without the rows that ``exact_groups`` does not keep: whole rows, all columns, any names."""
     rows, _, kept = _classed(docs, id_col, text_col)
     stays = rows.join(kept.select(F.col("keep_row").alias("row")), "row", "left_semi")
-    return stays.select([F.col("text").alias(c) if c == text_col else F.col("record").getField(c).alias(c) for c in docs.columns])
+    return whole(stays, docs.columns, **{text_col: "text"})

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import release, slices
+from curbcount.llm.common import columns, record_of, release, schema_of, slices, whole
 
 #: The training sample is bounded: so many labelled rows in all, of texts up to so many characters, and
 #: so many languages (the most frequent ones).
@@ -178,7 +178,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     Rows are taken by a hash of their id, as many of each language, so the sample is the same however the
     table is cut. Only counts by language and the sample reach the driver.
     """
-    labelled = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")).where(
+    labelled = columns(docs, id=id_col, text=text_col, lang=lang_col).where(
         F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
     )
     counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
@@ -198,7 +198,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_
     rejected if its calibrated score is below the model's threshold. A model without languages says
     ``und`` and rejects nothing. Whole texts are scored; rows stay apart whatever their ids.
     """
-    named = docs.select(F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("record"), docs[text_col].alias("text"))
+    frame = record_of(docs, [text_col], text=text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     carried = ["record", "text"][: 1 + keep_text]
 
@@ -210,11 +210,10 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_
             rejected = [bool(own.languages) and (lang == UNKNOWN or s < own.threshold) for lang, s in zip(langs, score)]
             yield pa.record_batch([*(part[c] for c in carried), pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], [*carried, "lang_pred", "score", "rejected"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.select(carried).schema.fields)
-    return named.mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
+    return frame.mapInArrow(run, schema_of(frame, carried, "lang_pred string, score double, rejected boolean"))
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without the rows whose language is rejected; whole rows, all columns, any names."""
     scored = predict(docs, fit(docs, id_col, text_col, lang_col), text_col).where("NOT rejected")
-    return scored.select([F.col("text").alias(c) if c == text_col else F.col("record").getField(c).alias(c) for c in docs.columns])
+    return whole(scored, docs.columns, **{text_col: "text"})

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbcount.llm.boosting import BoostedTrees
-from curbcount.llm.common import slices
+from curbcount.llm.common import columns, record_of, schema_of, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bounds of the training sample: documents, and characters of each.
@@ -268,8 +268,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     """Trained with a bounded sample of whole texts, chosen by a hash of the id."""
     total = docs.count()
     share = min(1.0, 2 * sample_docs / max(1, total))
-    named = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    chosen = named.where((F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20)) & (F.length("text") <= SAMPLE_CHARS))
+    chosen = columns(docs, id=id_col, text=text_col).where((F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20)) & (F.length("text") <= SAMPLE_CHARS))
     first = chosen.orderBy(F.xxhash64("id"), F.xxhash64("text")).select("text").limit(sample_docs)
     return train(sorted(r["text"] for r in first.collect()))
 
@@ -287,7 +286,7 @@ def find_personal(docs: DataFrame, model: SpanModel, text_col: str = "text", red
     The counts and the digest are of the exact patterns; ``spans`` lists these and what the model adds, as
     kind:start:end in code points. Null text counts as empty. Rows stay apart whatever their ids.
     """
-    named = docs.select(F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("record"), docs[text_col].alias("text"))
+    frame = record_of(docs, [text_col], text=text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["record", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "redacted"][: 7 + redacted]
 
@@ -310,9 +309,8 @@ def find_personal(docs: DataFrame, model: SpanModel, text_col: str = "text", red
             made = [*(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(clean, pa.string())]
             yield pa.record_batch([part["record"], *made[: 6 + redacted]], names)
 
-    kind = named.schema["record"].dataType.simpleString()
-    fields = [f"record {kind}", *(f"n_{k} bigint" for k in KINDS), "base_sha256 string", "spans string", "redacted string"]
-    return named.mapInArrow(run, ", ".join(fields[: 7 + redacted]))
+    made = [*(f"n_{k} bigint" for k in KINDS), "base_sha256 string", "spans string", "redacted string"]
+    return frame.mapInArrow(run, schema_of(frame, "record", ", ".join(made[: 6 + redacted])))
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
