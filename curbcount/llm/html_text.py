@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -18,7 +20,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("area base datalist head link meta noembed noframes noscript param rp script style template title audio canvas iframe object video".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul caption".split()
+    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol p plaintext pre search section summary table ul xmp caption".split()
 )
 #: Elements of SVG and MathML that show nothing, those of SVG that hold text, and tags that end both.
 NOT_DRAWN = frozenset("title desc defs metadata symbol clippath mask script style annotation annotation-xml mphantom".split())
@@ -30,7 +32,7 @@ BREAKOUT = frozenset(
     "ruby s small span strong strike sub sup table tt u ul var".split()
 )
 HEAD_CONTENT = frozenset("base link meta title noscript noframes style script template".split())
-SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul hr".split())
+SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 listing menu ol p plaintext pre table ul xmp hr".split())
 CLOSES_P = BLOCK - {"body", "html", "caption", "li", "dd", "dt", "legend", "summary"} | {"li", "dd", "dt", "summary"}
 #: A start tag closes these open elements, looked for up to one of the limits.
 IMPLIED_END = {
@@ -48,19 +50,32 @@ ROW_GROUPS = ("thead", "tbody", "tfoot")
 #: What may stand directly in these is known; anything else moves in front of the table.
 TABLE_PARTS = frozenset(("table", "tr", *ROW_GROUPS))
 IN_TABLE = frozenset("caption colgroup col tr td th script style template".split()) | set(ROW_GROUPS)
+LISTS = frozenset("ul ol menu dir dl".split())
+#: Types of controls with a caption, and of those that show no text.
+BUTTONS = frozenset("submit button reset".split())
+NO_TEXT = frozenset("hidden password checkbox radio file color range".split())
 CELL_GAP = 2
 MAX_DEPTH = 400
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse)\b", re.I)
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+#: Blocks of @media and the like with what is in them, and other @ lines.
+_AT_BLOCK = re.compile(r"@[^{};]*(?:;|\{(?:[^{}]|\{[^{}]*\})*\}?)")
+_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_EFFECT = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
+_SIMPLE = re.compile(r"(?:[a-zA-Z][a-zA-Z0-9]*)?(?:[.#][a-zA-Z_-][\w-]*)*")
+_PART = re.compile(r"[.#]?[\w-]+")
 _PRE = re.compile(r"white-space\s*:\s*(?:pre|break-spaces)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Style(NamedTuple):
-    """What children inherit: white space is kept, text is shown."""
+    """What children inherit: white space is kept, text is shown, a list is about it."""
 
     pre: bool = False
     shown: bool = True
+    listed: bool = False
 
 
 class Element:
@@ -148,6 +163,8 @@ class TreeBuilder(HTMLParser):
         self._push(tag, given)
         if tag in VOID:
             self.open.pop()
+        elif tag == "plaintext":  # the rest of the page is text
+            self.set_cdata_mode(tag)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         # a slash closes nothing in HTML, only foreign elements
@@ -180,25 +197,79 @@ class TreeBuilder(HTMLParser):
 def tree(html: str) -> Element:
     builder = TreeBuilder()
     builder.feed(html)
+    if builder.cdata_elem == "plaintext":
+        builder.handle_data(builder.rawdata)
+        builder.rawdata = ""
     if re.match(r"<[a-zA-Z/!?]", builder.rawdata):  # a tag that the page's end cuts off is no text
         builder.rawdata = ""
     builder.close()
+    _apply(_sheet(builder.root), builder.root)
     return builder.root
 
 
+def _below(root: Element, but: frozenset[str] = frozenset()) -> Iterator[Element]:
+    """All elements in order, without the inside of some."""
+    waiting = [root]
+    while waiting:
+        element = waiting.pop()
+        yield element
+        if element.tag not in but:
+            waiting += [c for c in reversed(element.children) if not isinstance(c, str)]
+
+
+def _sheet(root: Element) -> dict[str, list[tuple[tuple[int, int], frozenset[str], str, str]]]:
+    """Rules of the page's style sheets that show or hide, by the rarest part of their selector.
+
+    Selectors of one element (type, classes, id) count; those of relations, states or media do not. A rule:
+    its weight and place, all parts of its selector, the property and its value.
+    """
+    rules: dict[str, list] = {}
+    place = 0
+    for element in _below(root, frozenset(("noscript", "template"))):
+        if element.tag != "style" or (element.attrs.get("media") or "all").strip().lower() not in ("all", "screen"):
+            continue
+        text = _COMMENT.sub(" ", "".join(c for c in element.children if isinstance(c, str)))
+        for selectors, body in _RULE.findall(_AT_BLOCK.sub(" ", text)):
+            effects = [(n.lower(), v.lower()) for n, v in _EFFECT.findall(body)]
+            for selector in selectors.split(",") if effects else ():
+                if not _SIMPLE.fullmatch(selector.strip()):
+                    continue
+                parts = _PART.findall(selector)
+                parts = frozenset(x if x[0] in ".#" else x.lower() for x in parts)
+                weight = sum(100 if x[0] == "#" else 10 if x[0] == "." else 1 for x in parts)
+                place += 1
+                rarest = max(parts, key=lambda x: (x[0] == "#", x[0] == ".", x))
+                rules.setdefault(rarest, []).extend(((weight, place), parts, n, v) for n, v in effects)
+    return rules
+
+
+def _apply(rules: dict, root: Element) -> None:
+    """Writes what the style sheets say into the elements' own style, before what stands there."""
+    for element in _below(root) if rules else ():
+        classes = [f".{c}" for c in (element.attrs.get("class") or "").split()]
+        own = frozenset([element.tag, *classes, *([f"#{element.attrs['id']}"] if element.attrs.get("id") else [])])
+        fits = sorted((rule for part in own for rule in rules.get(part, ()) if rule[1] <= own), key=lambda rule: rule[0])
+        said = {name: value for _, _, name, value in fits}
+        inline = element.attrs.get("style") or ""
+        if "display" in said and _DISPLAY.search(inline):
+            del said["display"]
+        if said:
+            element.attrs = element.attrs | {"style": "".join(f"{n}:{v};" for n, v in said.items()) + inline}
+
+
 def hidden(element: Element) -> bool:
     attrs = element.attrs
     return (
-        element.tag in HIDDEN or "hidden" in attrs or element.tag == "input" or element.tag == "dialog" and "open" not in attrs
+        element.tag in HIDDEN or "hidden" in attrs or element.tag == "dialog" and "open" not in attrs
         or bool(_NO_DISPLAY.search(attrs.get("style") or ""))
     )
 
 
 def _inherit(element: Element, style: Style) -> Style:
     own = element.attrs.get("style") or ""
-    pre = style.pre or element.tag in ("pre", "textarea", "listing") or bool(_PRE.search(own))
+    pre = style.pre or element.tag in ("pre", "textarea", "listing", "plaintext", "xmp") or bool(_PRE.search(own))
     found = _VISIBILITY.findall(own)
-    return Style(pre, found[-1].lower() in ("visible", "initial") if found else style.shown)
+    return Style(pre, found[-1].lower() in ("visible", "initial") if found else style.shown, style.listed)
 
 
 def _collapsed(element: Element) -> bool:
@@ -337,40 +408,53 @@ def _table(element: Element, out: Layout, style: Style) -> None:
         _render(child, out, own)
     out.edge(False)
     grid: list[list[tuple[int, int, list[str]]]] = []
-    taken: dict[tuple[int, int], bool] = {}
+    # columns that cells of earlier rows reach down into: (first, end, row where that ends), by first
+    busy: list[tuple[int, int, int]] = []
     for r, (row, own) in enumerate(_rows(element, style)):
-        cells, c = [], 0
+        busy = [b for b in busy if b[2] > r]
+        cells, c, k, more = [], 0, 0, []
         for cell in row.children:
             if isinstance(cell, str) and not cell.strip() or not isinstance(cell, str) and hidden(cell):
                 continue
-            while taken.get((r, c)):
-                c += 1
+            while k < len(busy) and busy[k][0] <= c:
+                c = max(c, busy[k][1])
+                k += 1
             attrs = {} if isinstance(cell, str) else cell.attrs
             across, down = (min(max(1, _number(attrs.get(a), 1)), 1000) for a in ("colspan", "rowspan"))
-            for k in range(1, down):
-                taken.update({(r + k, c + j): True for j in range(across)})
+            if down > 1:
+                more.append((c, c + across, r + down))
             cells.append((c, across, render([cell], own) if isinstance(cell, str) or cell.tag not in ("td", "th") else render(cell.children, _inherit(cell, own))))
             c += across
+        busy = sorted(busy + more)
         grid.append(cells)
     wide: dict[int, int] = {}
     for cells in grid:
         for c, across, lines in cells:
             if across == 1:
                 wide[c] = max(wide.get(c, 0), *map(width, lines), 0)
-    starts, at = {}, 0
-    for c in range(max((c + a for cells in grid for c, a, _ in cells), default=0)):
-        starts[c] = at
-        at += wide.get(c, 0) + CELL_GAP if wide.get(c) else 0
+    # only columns that hold something have a width, however many a cell spans
+    filled = sorted(c for c, n in wide.items() if n)
+    begins = [0, *accumulate(wide[c] + CELL_GAP for c in filled)]
     for cells in grid:
         for k in range(max((len(lines) for _, _, lines in cells), default=0)):
             line = ""
             for c, _, lines in cells:
                 if k < len(lines) and lines[k]:
-                    line += " " * max(starts[c] - width(line), CELL_GAP if line else 0) + lines[k]
+                    line += " " * max(begins[bisect_left(filled, c)] - width(line), CELL_GAP if line else 0) + lines[k]
             out.add_lines([line])
     out.edge(False)
 
 
+def _field(attrs: dict[str, str | None]) -> str:
+    """What a control shows: its caption, the text in it, or else the text that asks for one."""
+    kind = (attrs.get("type") or "text").strip().lower()
+    if kind == "image":
+        return attrs.get("alt") or ""
+    if kind in BUTTONS:
+        return attrs.get("value") or ""
+    return "" if kind in NO_TEXT else attrs.get("value") or attrs.get("placeholder") or ""
+
+
 def _options(element: Element) -> Iterator[Element]:
     for child in element.children:
         if not isinstance(child, str) and not hidden(child):
@@ -453,6 +537,9 @@ def _render(node: Element | str, out: Layout, style: Style) -> None:
     elif tag == "img":
         if style.shown:
             out.text(node.attrs.get("alt") or "", False)
+    elif tag == "input":
+        if style.shown:
+            out.text(_field(node.attrs), False)
     elif tag == "wbr":
         return
     elif tag == "select":
@@ -463,8 +550,11 @@ def _render(node: Element | str, out: Layout, style: Style) -> None:
         _formula(node, out, style)
     else:
         block = tag in BLOCK
+        spaced = tag in SPACED and not (style.listed and tag in LISTS)
+        if tag in LISTS:
+            style = style._replace(listed=True)
         if block:
-            out.edge(tag in SPACED)
+            out.edge(spaced)
         if tag in ("ul", "ol", "menu", "dir"):
             _list(node, out, style)
         elif tag == "table":
@@ -480,7 +570,7 @@ def _render(node: Element | str, out: Layout, style: Style) -> None:
             for child in children:
                 _render(child, out, style)
         if block:
-            out.edge(tag in SPACED)
+            out.edge(spaced)
 
 
 def render(nodes: list[Element | str], style: Style = Style()) -> list[str]:
@@ -500,8 +590,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     Paragraphs, headings, lists and tables are set apart by a blank line; list items get markers and an
     indent; table cells stand in columns; preformatted text keeps its white space. Formulas and labels of
-    drawings are text, a closed list shows its chosen option. Scripts, styles, head, embedded media and
-    elements hidden by attribute or inline style are left out. Null and empty pages give empty text;
+    drawings are text, a closed list shows its chosen option. controls show their caption or value. Scripts, styles, head, embedded media and
+    elements hidden by attribute, inline style or a simple rule of the page's style sheets are left out. Null and empty pages give empty text;
     rows with equal or null ids stay apart; other columns are not read. Tags nested deeper than
     ``MAX_DEPTH`` become siblings.
     """

@@ -23,9 +23,10 @@ DIMENSIONS = 16
 SIZES = (2, 3, 4)
 EPOCHS = 6
 RATE = 0.5
-#: Share of rightly recognised held-back rows that the calibrated threshold may reject, and its upper end.
+#: Share of accepted texts that may be wrong, and of rightly recognised held-back rows that the threshold may reject.
+RISK = 0.01
 REJECTED_GOOD = 0.002
-MOST_THRESHOLD = 0.5
+_ANY = list("abcdefghijklmnopqrstuvwxyz")
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -144,7 +145,7 @@ def _stretch(text: str, rng: np.random.Generator) -> str:
 
 
 def _calibrate(model: LanguageModel, held: list[tuple[str, str]]) -> None:
-    """Temperature of least log loss, and the threshold that rejects no more than the allowed share."""
+    """Temperature of least log loss, and the threshold of the stated risk."""
     rng = np.random.default_rng(len(held))
     held = [*held, *((_stretch(t, rng), lang) for t, lang in held)]
     logits, count = model.logits([t for t, _ in held])
@@ -163,8 +164,38 @@ def _calibrate(model: LanguageModel, held: list[tuple[str, str]]) -> None:
         loss.append(-((1 - doubt) * true + doubt / others * (log_p.sum(axis=1) - true)).mean())
     model.temperature = float(grid[int(np.argmin(loss))])
     p = _softmax(logits / model.temperature)
-    good = p.max(axis=1)[p.argmax(axis=1) == truth]
-    model.threshold = min(MOST_THRESHOLD, float(np.quantile(good, REJECTED_GOOD))) if len(good) else 0.0
+    right = p.argmax(axis=1) == truth
+    score = p.max(axis=1)
+    # held-back errors and texts of no language the model may say: characters of held-back words put in any order
+    shuffled, count = model.logits([_jumbled(t, rng) for t, _ in held])
+    foreign = _softmax(shuffled[count > 0] / model.temperature).max(axis=1) if (count > 0).any() else np.zeros(0)
+    model.threshold = _threshold(score[right], score[~right], foreign)
+
+
+def _threshold(right: np.ndarray, wrong: np.ndarray, foreign: np.ndarray) -> float:
+    """The least score at which accepted texts are wrong no more often than ``RISK``, foreign ones a tenth of all.
+
+    It is lowered where it would reject more than ``REJECTED_GOOD`` of the texts that are recognised: coverage of good
+    texts goes before risk, and a model that cannot tell them apart rejects little.
+    """
+    if not len(right):
+        return 0.0
+    most = float(np.quantile(right, REJECTED_GOOD))
+    weight = len(right) / (9 * max(1, len(foreign)))
+    score = np.concatenate([right, wrong, foreign])
+    bad = np.concatenate([np.zeros(len(right)), np.ones(len(wrong)), np.full(len(foreign), weight)])
+    mass = np.concatenate([np.ones(len(right) + len(wrong)), np.full(len(foreign), weight)])
+    order = np.argsort(-score, kind="stable")
+    risk = np.cumsum(bad[order]) / np.cumsum(mass[order])
+    last = np.append(np.diff(score[order]) != 0, True)  # equal scores are accepted together
+    safe = np.flatnonzero((risk <= RISK) & last)
+    least = float(score[order][safe[-1]]) if len(safe) else 1.0
+    return min(least, most)
+
+
+def _jumbled(text: str, rng: np.random.Generator) -> str:
+    """Words of the text's length in characters that are not those of its language: drawn from all letters evenly."""
+    return " ".join("".join(rng.choice(_ANY, max(1, len(w)))) for w in text[:200].split())
 
 
 def held_out(id_col: Column) -> Column:
@@ -175,20 +206,25 @@ def held_out(id_col: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """Trained on a bounded sample of the labelled rows outside the held-out fold.
 
-    Rows are taken by a hash of their id, as many of each language, so the sample is the same however the
-    table is cut. Only counts by language and the sample reach the driver.
+    Rows with text are taken by a hash of id and text, as many of each language, and in its order, so the sample is the
+    same however the table is cut, also where ids repeat. Of texts beyond ``SAMPLE_CHARS`` a stretch is taken, at a place that the
+    hash draws, so languages of long texts are learned like others. Only counts by language and the sample reach the driver.
     """
     labelled = columns(docs, id=id_col, text=text_col, lang=lang_col).where(
-        F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
+        F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")) & (F.length("text") > 0)
     )
     counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return train([])
     each = max(1, sample_rows // len(counts))
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, each / r["count"]))])
-    chosen = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-    some = chosen.where(F.length("text").between(1, SAMPLE_CHARS)).select("text", "lang").limit(2 * sample_rows)
-    return train([(r["text"], r["lang"]) for r in some.collect()])
+    draw = F.xxhash64("id", "text")
+    chosen = labelled.where(F.pmod(draw, F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    # of longer texts a stretch from a place that the hash draws
+    begin = 1 + F.pmod(F.xxhash64(draw), F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS + 1)).cast("int")
+    some = chosen.select(F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("text"), "lang", draw.alias("draw"))
+    first = some.orderBy("draw", "text", "lang").limit(2 * sample_rows)
+    return train([(r["text"], r["lang"]) for r in first.collect()])
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_text: bool = True) -> DataFrame:

@@ -191,10 +191,28 @@ def test_languages_of_held_out_rows(spark):
     assert folds[None] is False and all(folds[k] == (zlib.crc32(str(k).encode()) % 3 == 1) for k in range(50))
 
 
+def test_a_threshold_keeps_the_stated_risk():
+    right, wrong = np.linspace(0.3, 1, 8000), np.linspace(0.2, 0.7, 400)
+    chosen = language_id._threshold(right, wrong, np.zeros(0))
+    assert chosen == np.quantile(right, language_id.REJECTED_GOOD)  # coverage goes first
+    few = np.concatenate([np.full(10, 0.3), np.full(7990, 0.9)])
+    chosen = language_id._threshold(few, np.full(400, 0.35), np.full(50, 0.4))
+    assert chosen == 0.9 and (np.concatenate([few, np.full(400, 0.35)]) >= chosen).sum() == 7990
+    assert language_id._threshold(np.zeros(0), wrong, wrong) == 0.0
+    assert language_id._threshold(np.full(10, 0.9), np.zeros(0), np.zeros(0)) == 0.9
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    rows = [(i, " ".join(f"{w}{i % 7}ung" for w in ("sch", "ver", "ent") * 2000), "de") for i in range(30)]
+    rows += [(100 + i, " ".join(f"the{i % 5} thing{k % 9}" for k in range(40)), "en") for i in range(300)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    assert model.languages == ["de", "en"] and model.predict([rows[0][1], rows[50][1]])[0] == ["de", "en"]
+
+
 def test_language_scores_are_calibrated_and_repeatable():
     rows = [(t, lang) for _, t, lang in labelled(500)]
     model, again = language_id.train(rows), language_id.train(rows)
-    assert np.array_equal(model.table, again.table) and 0 < model.threshold <= language_id.MOST_THRESHOLD
+    assert np.array_equal(model.table, again.table) and 0 < model.threshold < 1
     assert language_id.train([]).predict(["abc"]) [0] == ["und"]
 
 
@@ -309,13 +327,13 @@ def test_personal_data_of_a_table(docs, none, spans):
 
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("<p>a<p>b <b>c</b>d", "a\n\nb cd"), ("x<br>y<br><br>z", "x\ny\n\nz"),
-    ("<ul><li>x<li>y<ol start=3><li>q<li>r</ol></ul>tail", "- x\n- y\n\n  3. q\n  4. r\n\ntail"),
+    ("<ul><li>x<li>y<ol start=3><li>q<li>r</ol></ul>tail", "- x\n- y\n  3. q\n  4. r\n\ntail"),
     ("<table><tr><th>Name<th>Qty<tr><td>apple<td>10<tr><td>b<td>2</table>after", "Name   Qty\napple  10\nb      2\n\nafter"),
     ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"), ("<pre>\n a\n   b</pre>", " a\n   b"),
     ("<head><title>t</title><body>x<script>if(a<b){}</script><style>p{}</style>", "x"), ("<head><title>t</title>x", "x"),
     ("a<div hidden>no</div><div style='display: none'>no</div><span style='visibility:hidden'>no</span>b", "ab"),
     ("a &lt; b &amp; c <", "a < b & c <"), ("a<!-- no -->b<div", "ab"), ("<dl><dt>T<dd>D</dl>", "T\n    D"),
-    ("<p>" + "\n w " * 3, "w w w"), ("<details><summary>s</summary>no</details>", "s"), ("<img alt='pic'> <input value=no>", "pic"),
+    ("<p>" + "\n w " * 3, "w w w"), ("<details><summary>s</summary>no</details>", "s"), ("<img alt='pic'> <input value=yes>", "pic yes"),
 ])
 def test_visible_text(html, text):
     assert html_text.visible_text(html) == text
