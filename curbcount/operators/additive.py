@@ -31,20 +31,22 @@ LEAST_VARIANCE = 1e-9
 BLOCK_ROWS = 65_536
 
 
-def _change_points(t: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Scaled times of the possible slope changes: evenly spaced ranks of the first 80 % of rows."""
-    rows_before = np.cumsum(n)
-    span = int(np.floor(rows_before[-1] * CHANGE_POINT_SPAN))
+def knot_ranks(rows: int) -> np.ndarray:
+    """Ranks among the rows at which the slope may change: evenly spaced over the first 80 %."""
+    span = int(np.floor(rows * CHANGE_POINT_SPAN))
     count = min(CHANGE_POINTS, span - 1)
     if count < 1:
-        return np.empty(0)
-    ranks = np.round(np.linspace(0, span - 1, count + 1)).astype("int64")[1:]
-    return t[np.searchsorted(rows_before, ranks, side="right")]
+        return np.empty(0, np.int64)
+    return np.round(np.linspace(0, span - 1, count + 1)).astype("int64")[1:]
 
 
-def _seasons(days: np.ndarray) -> list[tuple[float, int]]:
-    span, gaps = days[-1] - days[0], np.diff(days)
-    spacing = gaps.min() if gaps.size else np.inf
+def times_at(ranks: np.ndarray, t: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The times of the rows of these ranks, given times and their numbers of rows."""
+    return t[np.searchsorted(np.cumsum(n), ranks, side="right")]
+
+
+def seasons(span: float, spacing: float) -> list[tuple[float, int]]:
+    """Period and order of the seasons that a history of this span and least spacing, in days, allows."""
     return [(p, k) for _, p, k, shortest, widest in SEASONS if span >= shortest and spacing < widest]
 
 
@@ -163,12 +165,27 @@ def fit_predict(
     scale = max(abs(least), abs(greatest))
     start, length = days[0], days[-1] - days[0]
     t = (days - start) / length
-    knots, waves = _change_points(t, n), _seasons(days)
+    knots, waves = times_at(knot_ranks(int(n.sum())), t, n), seasons(days[-1] - days[0], np.diff(days).min(initial=np.inf))
+    gram, moment = sums(days, n, total / scale, start, length, knots, waves)
+    theta = _most_probable(gram, moment, squares.sum() / scale**2, n.sum(), knots.size)
+    return fitted(theta, at, start, length, knots, waves) * scale
+
+
+def sums(days, n, total, start: float, length: float, knots: np.ndarray, waves) -> tuple[np.ndarray, np.ndarray]:
+    """Gram matrix and moments of a stretch of observations; those of several stretches add up."""
     gram, moment = 0.0, 0.0
-    for lo in range(0, t.size, BLOCK_ROWS):
+    for lo in range(0, days.size, BLOCK_ROWS):
         part = slice(lo, lo + BLOCK_ROWS)
-        x = _design(t[part], days[part], knots, waves)
+        x = _design((days[part] - start) / length, days[part], knots, waves)
         gram = gram + x.T @ (x * n[part, None])
-        moment = moment + x.T @ (total[part] / scale)
-    theta = _most_probable(gram, moment, squares.sum() / scale**2, n.sum(), knots.size)
-    return _design((at - start) / length, at, knots, waves) @ theta * scale
+        moment = moment + x.T @ total[part]
+    return gram, moment
+
+
+def solve(gram: np.ndarray, moment: np.ndarray, square: float, rows: float, n_knots: int) -> np.ndarray:
+    """The most probable parameters, from sums over all observations."""
+    return _most_probable(gram, moment, square, rows, n_knots)
+
+
+def fitted(theta: np.ndarray, at: np.ndarray, start: float, length: float, knots: np.ndarray, waves) -> np.ndarray:
+    return _design((at - start) / length, at, knots, waves) @ theta

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,7 @@ from curbcount import schemas
 from curbcount.functions.event_time import seconds
 from curbcount.operators.additive import fit_predict
 from curbcount.operators.series import future_grid, observations, series_range, trim_history
+from curbcount.plans.long_fit import forecast_all
 
 HISTORY, FUTURE = "history", "future"
 
@@ -199,9 +201,18 @@ def forecast(
     keep_days: bool = False,
     **options,
 ) -> DataFrame:
-    """The prediction table of one run: every series, every range, the next steps."""
-    fitted = fit_series(captures, ranges, include_history=False, **options)
-    return as_predictions(future(fitted), run_time, keep_days)
+    """The prediction table of one run: every series, every range, the next steps.
+
+    A range without limit is fitted in blocks of time, so no task holds a whole series.
+    """
+    parts = []
+    bounded = [r for r in ranges if r is not None]
+    if bounded:
+        parts.append(future(fit_series(captures, bounded, include_history=False, **options)).drop("kind"))
+    if len(bounded) < len(ranges):
+        steps = {k: v for k, v in options.items() if k in ("steps", "step_seconds")}
+        parts.append(forecast_all(captures, **steps).withColumn("history_days", F.lit(None).cast("int")))
+    return as_predictions(reduce(DataFrame.unionByName, parts), run_time, keep_days)
 
 
 def trend_fit(captures: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from curbcount.functions import geo
 from curbcount.functions.text import file_label
 from curbcount.operators import quality, series
 from curbcount.operators.lookup import lookup_join
-from curbcount.plans import accuracy, cycles, forecast, preparation, rollups, scores
+from curbcount.plans import accuracy, cycles, forecast, long_fit, preparation, rollups, scores
 from curbcount.plans import standins as st
 from curbcount.session import new_path
 from curbcount.sources import snapshots, tables, topics
@@ -583,6 +583,23 @@ def in_sample_rows(spark, folder):
     return fitted.select(*schemas.SERIES_KEYS, "ds", "min_history_ds", "max_history_ds", "history_days")
 
 
+@_query(_with(_CAPTURE, _ENDS) + """
+SELECT SegmentID, Direction, max_history_ds + to_minutes(15 * i) AS ds, true AS equal
+FROM ends, (VALUES (1), (2), (3), (4)) AS steps(i)""")
+def whole_history_fit(spark, folder):
+    """All history fitted in blocks of two days, against the fit of every series in one task.
+
+    Sums in another order change the last bits, and a series with hardly more observations than parameters is
+    determined to about five digits only; long ones agree to 1e-6 (tests).
+    """
+    captures = st.captures(spark, folder)
+    blocks = long_fit.forecast_all(captures, block_seconds=2 * 86_400)
+    once = forecast.future(forecast.fit_series(captures, (None,), include_history=False))
+    met = blocks.join(once.select(*schemas.SERIES_KEYS, "ds", F.col("yhat").alias("other")), [*schemas.SERIES_KEYS, "ds"])
+    near = F.abs(F.col("yhat") - F.col("other")) <= F.lit(1e-4) * F.greatest(F.lit(1.0), F.abs("other"))
+    return met.select(*schemas.SERIES_KEYS, "ds", near.alias("equal"))
+
+
 def _level(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
     total, n = points["sum_y"].sum(), points["n"].sum()
     return pd.DataFrame({"SegmentID": [key[0]], "Direction": [key[1]], "n": [n], "level": [round(total / n, 6)]})
