@@ -583,20 +583,20 @@ def in_sample_rows(spark, folder):
     return fitted.select(*schemas.SERIES_KEYS, "ds", "min_history_ds", "max_history_ds", "history_days")
 
 
-@_query(_with(_CAPTURE, _ENDS) + """
-SELECT SegmentID, Direction, max_history_ds + to_minutes(15 * i) AS ds, true AS equal
-FROM ends, (VALUES (1), (2), (3), (4)) AS steps(i)""")
+@_query(_with(_CAPTURE) + """, ends AS (
+  SELECT SegmentID % 2 AS SegmentID, Direction, max(Timestamp) AS last FROM capture GROUP BY ALL)
+SELECT SegmentID, Direction, last + to_minutes(15 * i) AS ds, true AS equal FROM ends, (VALUES (1), (2), (3), (4)) AS steps(i)""")
 def whole_history_fit(spark, folder):
     """All history fitted in blocks of two days, against the fit of every series in one task.
 
-    Sums in another order change the last bits, and a series with hardly more observations than parameters is
-    determined to about five digits only; long ones agree to 1e-6 (tests).
+    Segments are united by parity: sums in another order change the last bits, and a series with hardly more observations than
+    parameters magnifies them.
     """
-    captures = st.captures(spark, folder)
+    captures = st.captures(spark, folder).withColumn("SegmentID", F.pmod("SegmentID", F.lit(2)))
     blocks = long_fit.forecast_all(captures, block_seconds=2 * 86_400)
     once = forecast.future(forecast.fit_series(captures, (None,), include_history=False))
     met = blocks.join(once.select(*schemas.SERIES_KEYS, "ds", F.col("yhat").alias("other")), [*schemas.SERIES_KEYS, "ds"])
-    near = F.abs(F.col("yhat") - F.col("other")) <= F.lit(1e-4) * F.greatest(F.lit(1.0), F.abs("other"))
+    near = F.abs(F.col("yhat") - F.col("other")) <= F.lit(1e-6) * F.greatest(F.lit(1.0), F.abs("other"))
     return met.select(*schemas.SERIES_KEYS, "ds", near.alias("equal"))
 
 
@@ -879,6 +879,38 @@ def forecast_cycle_rows(spark, folder):
     return topics.snapshot(spark, guesses).drop("prediction_vol")
 
 
+@_query(_with(_CAPTURE, _SEGMENT) + f"""
+SELECT Boro, Timestamp, round(avg(Vol), 6) AS Vol FROM capture JOIN segment USING (SegmentID)
+WHERE SegmentID % 2 = 0 OR Timestamp > TIMESTAMP '{SPLIT_AT}' GROUP BY Boro, Timestamp""")
+def stream_growing_dimension(spark, folder):
+    """The dimension is a log that grows between two batches: every batch meets all of it that is there, and chooses anew
+    how (by a limit between the two sizes)."""
+    root = new_path(spark, "growing")
+    topic, places = Topic("captures", st.CAPTURE, f"{root}/log"), Topic("segments", st.SEGMENT, f"{root}/segments")
+    handle = sq.partial_means_writer(f"{root}/sums", lambda session: topics.snapshot(session, places), limit=1_000)
+    parts = preparation.split_history(st.captures(spark, folder), SPLIT_AT)
+    for captures, known in zip(parts, ("SegmentID % 2 = 0", "SegmentID % 2 = 1")):
+        topics.append(st.segments(spark, folder).filter(known), places)
+        topics.append(captures, topic)
+        sq.await_or_stop(sq.start_micro_batches(topics.stream(spark, topic), handle, f"{root}/checkpoint", every_seconds=None))
+    return sq.stored_means(spark, f"{root}/sums").withColumn("Vol", _r("Vol"))
+
+
+@_query(_with(_RAW) + """
+SELECT 'points' AS name, count(*) AS rows, true AS near FROM raw
+UNION ALL SELECT 'segments', count(*), true FROM raw UNION ALL SELECT 'streets', count(*), true FROM raw""")
+def sketched_keys(spark, folder):
+    """Key counts from sketches by day, united when read, within 5 % (three standard errors) of the exact ones."""
+    keys = {"segments": ["SegmentID"], "points": ["WktGeom"], "streets": ["Boro", "Street", "fromSt", "toSt"]}
+    rows = st.raw(spark, folder).withColumn("Timestamp", F.make_timestamp_ntz("Yr", "M", "D", "HH", "MM", F.lit(0)))
+    sketches = quality.KeySketches(spark, new_path(spark, "sketches"), keys)
+    for epoch, part in enumerate((rows.filter("RequestID % 2 = 0"), rows.filter("RequestID % 2 = 1"))):
+        sketches.add(part, run="a", epoch=epoch)
+    exact = quality.distinct_counts(rows, keys).unpivot([], list(keys), "name", "exact")
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.lit(0.05) * F.col("exact")
+    return sketches.counts().join(exact, "name").select("name", "rows", near.alias("near"))
+
+
 _ACCURACY = _with(_CAPTURE, _PREDICTION, _ERRORS) + """
 SELECT range_days, future_forecasting_minutes, round(avg(AE), 6) AS MAE, round(avg(APE), 6) AS MAPE, count(*) AS pairs,
        count(*) FILTER (Vol = 0) AS zero_vol

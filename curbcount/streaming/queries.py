@@ -19,6 +19,8 @@ from curbcount.sources.snapshots import publish
 from curbcount.sources.tables import DAY
 
 BatchFunction = Callable[[DataFrame, int], None]
+#: A table, or a function that reads it as it is now.
+Dimension = DataFrame | Callable[[SparkSession], DataFrame]
 PARTIALS = "Boro STRING, Timestamp TIMESTAMP_NTZ, sum_vol BIGINT, n_vol BIGINT"
 FORECAST_PARTIALS = "Boro STRING, Timestamp TIMESTAMP_NTZ, sum_vol DOUBLE, n_vol BIGINT"
 #: Files that a day's rows of one micro-batch go to.
@@ -153,29 +155,40 @@ def stored_means(spark: SparkSession, root: str) -> DataFrame:
     return merge_partials(stored_partials(spark, root).read())
 
 
+def dimension_now(spark: SparkSession, segments: Dimension) -> DataFrame:
+    """The dimension as it is at this batch: a frame stays what it was when the stream began, a function reads anew."""
+    return segments(spark) if callable(segments) else segments
+
+
 def partial_means_writer(
-    root: str, segments: DataFrame, value: str = "Vol", ts: str = "Timestamp"
+    root: str, segments: Dimension, value: str = "Vol", ts: str = "Timestamp", limit: int | None = None
 ) -> BatchFunction:
-    """Handler that adds mergeable borough sums, for ticks that span several batches."""
+    """Handler that adds mergeable borough sums, for ticks that span several batches.
+
+    Every batch decides for itself how it meets the dimension, which may grow under the stream: broadcast while it
+    is small, beyond that by key after the batch has been reduced, with the heavy keys of the batch spread.
+    """
 
     def handle(batch: DataFrame, epoch: int) -> None:
         store, run = stored_partials(batch.sparkSession, root), run_of(batch)
+        places = dimension_now(batch.sparkSession, segments)
         # this batch may be a repeated one, so it and what follows stay outside the merged sets
         store.compact(before=(run, epoch))
-        sums = borough_partials(batch, segments, value, ts)
+        sums = borough_partials(batch, places, value, ts, limit)
         store.add(sums.select("Boro", F.col(ts).alias("Timestamp"), F.col("sum_vol").cast("bigint").alias("sum_vol"), "n_vol"), run, epoch)
 
     return handle
 
 
-def latest_captures_writer(root: str, segments: DataFrame) -> BatchFunction:
+def latest_captures_writer(root: str, segments: Dimension, limit: int | None = None) -> BatchFunction:
     """Handler for new captures: serve the joined batch, append its borough sums."""
-    sums = partial_means_writer(f"{root}/partials", segments)
+    sums = partial_means_writer(f"{root}/partials", segments, limit=limit)
 
     def handle(batch: DataFrame, epoch: int) -> None:
         kept = batch.persist()
         try:
-            publish(lookup_join(kept, segments, ["SegmentID"]), f"{root}/batch", epoch, run_of(batch))
+            places = dimension_now(batch.sparkSession, segments)
+            publish(lookup_join(kept, places, ["SegmentID"], limit), f"{root}/batch", epoch, run_of(batch))
             sums(kept, epoch)
         finally:
             kept.unpersist()
@@ -183,7 +196,7 @@ def latest_captures_writer(root: str, segments: DataFrame) -> BatchFunction:
     return handle
 
 
-def latest_forecasts_writer(root: str, segments: DataFrame) -> BatchFunction:
+def latest_forecasts_writer(root: str, segments: Dimension) -> BatchFunction:
     """Handler for new predictions: serve the borough means of the newest run of the forecast.
 
     A run may come in several batches, and a batch may hold several runs. The newest run time so far is a fact in a
@@ -205,7 +218,7 @@ def latest_forecasts_writer(root: str, segments: DataFrame) -> BatchFunction:
         store = of(spark, newest)
         store.compact(before=(run, epoch))
         ahead = batch.filter(F.col("prediction_ds") == F.lit(newest).cast("timestamp_ntz"))
-        sums = partials(ahead, "prediction_vol", ["Timestamp"], segments, ["Boro"])
+        sums = partials(ahead, "prediction_vol", ["Timestamp"], dimension_now(spark, segments), ["Boro"])
         store.add(sums.select("Boro", "Timestamp", F.col("__sum").alias("sum_vol"), F.col("__count").alias("n_vol")), run, epoch)
         state.note(newest=newest)
         publish(for_display(merge_partials(store.read())), root, epoch, run)
