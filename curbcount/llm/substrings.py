@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbcount.llm.common import columns, pack, texts, unpack
+from curbcount.llm.common import columns, named, pack, texts, unpack
 
 WINDOW = 13
 #: Mean bytes of text in a slice, and rolling windows that one task looks up at once.
@@ -119,6 +119,12 @@ def _bucketed(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]
     return of, np.searchsorted(of, np.arange(buckets + 1))
 
 
+def _filled(edges: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The buckets that hold something: rows and steps are at most as many as hashes, however many buckets there are."""
+    for bucket in np.flatnonzero(np.diff(edges)).tolist():
+        yield bucket, slice(int(edges[bucket]), int(edges[bucket + 1]))
+
+
 class Slice:
     """One group of documents, from which every step is computed again in the same order."""
 
@@ -139,12 +145,10 @@ class Slice:
         self.edges = _bucketed(self.key, buckets)[1]
 
     def anchors(self, number: int) -> Iterator[tuple]:
-        for bucket in range(self.buckets):
-            own = slice(self.edges[bucket], self.edges[bucket + 1])
-            if own.stop > own.start:
-                low = ((self.key[own] >> np.uint64(16)) & np.uint64(0xFFFF)).astype(">u2")
-                high = ((self.key[own] >> np.uint64(32)).astype(np.uint32)).astype(">u4")
-                yield number, bucket, len(low), pack(high), low.tobytes(), np.packbits(self.anchor[own]).tobytes()
+        for bucket, own in _filled(self.edges):
+            low = ((self.key[own] >> np.uint64(16)) & np.uint64(0xFFFF)).astype(">u2")
+            high = ((self.key[own] >> np.uint64(32)).astype(np.uint32)).astype(">u4")
+            yield number, bucket, len(low), pack(high), low.tobytes(), np.packbits(self.anchor[own]).tobytes()
 
     def extend(self, active: dict[int, bytes]) -> None:
         """Windows of full length that hold an active hash."""
@@ -172,11 +176,9 @@ class Slice:
         self.full_edges = _bucketed(self.full[0], self.buckets)[1]
 
     def full_windows(self, number: int) -> Iterator[tuple]:
-        for bucket in range(self.buckets):
-            own = slice(self.full_edges[bucket], self.full_edges[bucket + 1])
-            if own.stop > own.start:
-                one, two = self.full[0][own].astype(">u8"), self.full[1][own].astype(">u4")
-                yield number, bucket, len(one), pack(one), two.tobytes(), pack(self.least[own].astype(">i8"))
+        for bucket, own in _filled(self.full_edges):
+            one, two = self.full[0][own].astype(">u8"), self.full[1][own].astype(">u4")
+            yield number, bucket, len(one), pack(one), two.tobytes(), pack(self.least[own].astype(">i8"))
 
     def kept(self, smaller: dict[int, tuple[bytes, bytes]]) -> Iterator[tuple[int, np.ndarray]]:
         """(text number, which of its words stay)."""
@@ -259,14 +261,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     words over it also starts in a document with a smaller id; windows are judged on the input. The first
     document that holds a passage keeps it, and so do repeats within one document. Ids are integers;
     rows that share an id do not take words from each other, rows without id neither lend nor lose
-    words. Null and empty texts have no words. An empty table gives no rows. Other columns are not read.
+    words and are not dealt into slices. Null and empty texts have no words. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    named = columns(docs, id=docs[id_col].cast("bigint"), text=text_col)
-    size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    given = columns(docs, id=named(id_col).cast("bigint"), text=text_col)
+    size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count, buckets = max(1, size // SLICE_BYTES), max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), size // (6 * BUCKET_WINDOWS))
-    dealt = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.col("text"), F.lit("")))
-    parts = named.select("id", "text", F.pmod(dealt, F.lit(count)).alias("slice"))
+    # by id and text, since rows that share an id need not meet: only a smaller id takes words
+    parts = given.where("id IS NOT NULL").select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(count)).alias("slice"))
 
     def own(group: pa.Table) -> Slice:
         return Slice(group["id"].to_pylist(), texts(group["text"]), window, buckets)
@@ -302,4 +304,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     second = again.groupBy("bucket").applyInArrow(_least, _BACK)
     both = first.unionByName(second)
     fields = "id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * keep_text
-    return by_slice.cogroup(both.groupBy("slice")).applyInArrow(kept, fields).withColumnRenamed("id", id_col)
+    judged = by_slice.cogroup(both.groupBy("slice")).applyInArrow(kept, fields)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text in texts(batch["text"]):
+                words = text.split()
+                left = b" ".join(words)
+                rows.append((None, len(words), 0, hashlib.sha256(left).hexdigest(), left.decode())[: len(names)])
+            yield from _table(rows, kind).to_batches()
+
+    # rows without id are in no slice, so very many of them fill none
+    apart = given.where("id IS NULL").select("text").mapInArrow(whole, fields)
+    return judged.unionByName(apart).withColumnRenamed("id", id_col)

@@ -189,3 +189,22 @@ def test_word_hashes_follow_the_words(bodies):
     for w, h in zip(plain, words.hashes[0].tolist()):
         by_hash[h].add(w)
     assert all(len(v) == 1 for v in by_hash.values()) and len(by_hash) == len(set(plain))
+
+
+def test_rows_sent_are_no_more_than_hashes_however_many_buckets():
+    rng = random.Random(5)
+    bodies = [" ".join(f"w{rng.randrange(400)}" for _ in range(300)).encode() for _ in range(20)]
+    few, many = (substrings.Slice(list(range(20)), bodies, 13, buckets) for buckets in (4, 1_000_000))
+    assert len(list(few.anchors(0))) == 4
+    sent = list(many.anchors(0))
+    assert len(sent) <= len(many.key) and sum(r[2] for r in sent) == len(many.key)
+    many.extend({})
+    assert len(list(many.full_windows(0))) <= len(many.full[0])
+
+
+def test_rows_of_one_id_or_none_are_spread(spark):
+    passage = " ".join(f"p{k}" for k in range(20))
+    rows = [(7, f"{passage} tail {i}") for i in range(60)] + [(None, f"{passage}") for _ in range(60)] + [(8, f"head {passage}"), (3, passage)]
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    assert sorted({(r["doc_id"], r["n_removed"]) for r in found}, key=str) == [(3, 0), (7, 20), (8, 20), (None, 0)]
+    assert len(found) == len(rows)
