@@ -600,18 +600,25 @@ def whole_history_fit(spark, folder):
     return met.select(*schemas.SERIES_KEYS, "ds", near.alias("equal"))
 
 
-def _level(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
-    total, n = points["sum_y"].sum(), points["n"].sum()
-    return pd.DataFrame({"SegmentID": [key[0]], "Direction": [key[1]], "n": [n], "level": [round(total / n, 6)]})
-
-
-@_query(_with(_CAPTURE) + f"""
-SELECT SegmentID, Direction, count(*) AS n, round(avg(Vol), 6) AS level
-FROM ({_trim_sql(7)}) GROUP BY SegmentID, Direction""")
+def _smoothed(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
+    """Exponential smoothing: every value takes the level three tenths of the way to itself."""
+    values = (points.sort_values("ds")["sum_y"] / points.sort_values("ds")["n"]).to_numpy()
+    level = values[0]
+    for value in values[1:]:
+        level += 0.3 * (value - level)
+    return pd.DataFrame({"SegmentID": [key[0]], "Direction": [key[1]], "n": [len(values)], "level": [round(level, 6)]})
+
+
+@_query(_with(_CAPTURE) + f""", points AS (
+  SELECT SegmentID, Direction, Timestamp, avg(Vol) AS y FROM ({_trim_sql(7)}) GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY SegmentID, Direction ORDER BY Timestamp) AS i, count(*) OVER (PARTITION BY SegmentID, Direction) AS n FROM points)
+SELECT SegmentID, Direction, max(n) AS n, round(sum(y * pow(0.7, n - i) * CASE WHEN i = 1 THEN 1 ELSE 0.3 END), 6) AS level
+FROM ranked GROUP BY SegmentID, Direction""")
 def own_model(spark, folder):
-    """A user's own function of one series, here the mean of the last seven days."""
+    """A user's own function of one series in order, here exponential smoothing of the last seven days."""
     layout = "SegmentID BIGINT, Direction STRING, n BIGINT, level DOUBLE"
-    return forecast.apply_per_series(st.captures(spark, folder), _level, layout, limit_days=7)
+    return forecast.apply_per_series(st.captures(spark, folder), _smoothed, layout, limit_days=7)
 
 
 # ---------------------------------------------------------------- sources and sinks
