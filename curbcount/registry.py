@@ -943,6 +943,17 @@ def stream_accuracy(spark, folder):
     return served.withColumns({"MAE": _r("MAE"), "MAPE": _r("MAPE")})
 
 
+@_query(_ACCURACY)
+def bucketed_accuracy(spark, folder):
+    """The same table from bucketed copies of both sides, which meet without a shuffle."""
+    root = new_path(spark, "bucketed")
+    names = [f"{side}_{root[-32:]}" for side in ("captures", "predictions")]
+    sides = st.captures(spark, folder), st.predictions(spark, folder)
+    captures, guesses = (tables.write_bucketed(side, name, f"{root}/{name}", 8) for side, name in zip(sides, names))
+    result = accuracy.accuracy(captures, guesses)
+    return result.withColumns({"MAE": _r("MAE"), "MAPE": _r("MAPE")})
+
+
 @_query(_ACCURACY)
 def published_accuracy(spark, folder):
     """The same table computed anew by a cycle over both logs, and served."""

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from curbcount import schemas
 from curbcount.plans import accuracy, cycles, rollups
 from curbcount.plans.scores import Scores
-from curbcount.sources import snapshots, topics
+from curbcount.sources import snapshots, tables, topics
 from curbcount.sources.topics import Topic
 from curbcount.streaming import queries as sq
 from curbcount.streaming import replay
 
-from .conftest import at, rows
+from .conftest import at, plan, rows
 
 START = at("2017-06-20 00:15")
 
@@ -192,3 +192,20 @@ def test_only_files_of_the_newest_runs_are_opened(spark, make, tmp_path):
     # a file without a note is opened, too
     topics.encode(predictions(make, [9], 5).coalesce(1)).write.mode("append").text(guesses.location)
     assert rows(rollups.latest_run(topics.newest_run(spark, guesses), now)) == rows(rollups.latest_run(topics.snapshot(spark, guesses), now))
+
+
+def test_bucketed_copies_meet_without_a_shuffle(spark, make, tmp_path):
+    seen = captures(make, range(40)).unionByName(captures(make, range(10)))
+    guessed = predictions(make, range(5, 60)).unionByName(predictions(make, range(8), run=1))
+    copies = [tables.write_bucketed(f, f"{name}_buckets", f"{tmp_path}/{name}", 4) for f, name in ((seen, "seen"), (guessed, "guessed"))]
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        met, plain = accuracy.errors(*copies), accuracy.errors(seen, guessed)
+        assert "SortMergeJoin" in plan(met)
+        assert "Exchange hashpartitioning" not in plan(met) and "Exchange hashpartitioning" in plan(plain)
+        assert rows(met) == rows(plain) and met.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+        for name in ("seen", "guessed"):
+            spark.sql(f"DROP TABLE {name}_buckets")
