@@ -20,8 +20,8 @@ from curbcount.llm.common import columns, kept, record_of, schema_of, slices
 Value = TypeVar("Value")
 
 SLICE_BYTES = 4 << 20
-#: Encoded words a worker knows in each of two generations.
-KNOWN_WORDS = 400_000
+#: Encoded words, and pieces with what they decode to, that a worker knows in each of two generations.
+KNOWN_WORDS, KNOWN_PIECES = 200_000, 300_000
 #: Words of one merging query.
 WORDS = 1 << 15
 #: Rows of one decoding query.
@@ -75,7 +75,7 @@ class ByteBpe:
         self.words = regex.compile(pattern)
         #: Ids of words; ids of pieces, and what these decode to.
         self.known: Known[bytes] = Known(KNOWN_WORDS)
-        self.pieces: Known[tuple[bytes, bytes]] = Known(KNOWN_WORDS)
+        self.pieces: Known[tuple[bytes, bytes]] = Known(KNOWN_PIECES)
         self._valid = np.zeros(max(self.ranks.values()) + 1, bool)
         self._valid[list(self.ranks.values())] = True
         self._byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)

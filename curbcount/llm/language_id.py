@@ -25,7 +25,7 @@ EPOCHS = 6
 RATE = 0.5
 #: Share of accepted texts that may be wrong, and of rightly recognised held-back rows that the threshold may reject.
 RISK = 0.01
-REJECTED_GOOD = 0.002
+REJECTED_GOOD = 0.0005
 _ANY = list("abcdefghijklmnopqrstuvwxyz")
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
