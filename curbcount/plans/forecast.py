@@ -38,13 +38,41 @@ def _series_fits(times, stats, ranges, steps: int, step: int, include_history: b
     return fits
 
 
-def _fit_sorted(ranges, steps: int, step_seconds: int, include_history: bool, names: Sequence[str]):
-    """Function over a partition sorted by series and time: fits each series as it completes.
+def _whole_series(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Rows of whole series, and the positions where each begins and the last ends, of a partition sorted by series.
 
     Many short series share one Arrow batch, which costs less than a batch per series; a
     series that runs over several batches is held until it ends. Only one batch and one
     series are in memory.
     """
+
+    def starts(batch: pd.DataFrame, before: pd.DataFrame | None) -> np.ndarray:
+        """Positions where a new series begins, given the rows that came before."""
+        new = np.zeros(len(batch), dtype=bool)
+        for k in schemas.SERIES_KEYS:
+            column = batch[k].to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+            new[0] |= before is None or before[k].iloc[-1] != column[0]
+        return np.flatnonzero(new)
+
+    held: list[pd.DataFrame] = []  # rows of the series that may go on
+    for batch in filter(len, batches):
+        begins = starts(batch, held[-1] if held else None)
+        held.append(batch)
+        if not begins.size:
+            continue
+        pool = pd.concat(held, ignore_index=True)
+        cuts = np.unique([0, *(begins + len(pool) - len(batch))])
+        if cuts.size > 1:
+            yield pool, cuts
+        held = [pool.iloc[cuts[-1] :]]
+    if held:
+        pool = pd.concat(held, ignore_index=True)
+        yield pool, np.array([0, len(pool)])
+
+
+def _fit_sorted(ranges, steps: int, step_seconds: int, include_history: bool, names: Sequence[str]):
+    """Function over a partition sorted by series and time: fits each series as it completes."""
     step = step_seconds * 1_000_000
 
     def fit_all(frame: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
@@ -72,35 +100,51 @@ def _fit_sorted(ranges, steps: int, step_seconds: int, include_history: bool, na
         }
         return pd.DataFrame({name: columns[name] for name in names})
 
-    def starts(batch: pd.DataFrame, before: pd.DataFrame | None) -> np.ndarray:
-        """Positions where a new series begins, given the rows that came before."""
-        new = np.zeros(len(batch), dtype=bool)
-        for k in schemas.SERIES_KEYS:
-            column = batch[k].to_numpy()
-            new[1:] |= column[1:] != column[:-1]
-            new[0] |= before is None or before[k].iloc[-1] != column[0]
-        return np.flatnonzero(new)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []  # rows of the series that may go on
-        for batch in filter(len, batches):
-            begins = starts(batch, held[-1] if held else None)
-            held.append(batch)
-            if not begins.size:
-                continue
-            pool = pd.concat(held, ignore_index=True)
-            cuts = np.unique([0, *(begins + len(pool) - len(batch))])
-            if cuts.size > 1 and (done := fit_all(pool, cuts)) is not None:
-                yield done
-            held = [pool.iloc[cuts[-1] :]]
-        if held:
-            pool = pd.concat(held, ignore_index=True)
-            if (done := fit_all(pool, np.array([0, len(pool)]))) is not None:
+        for pool, cuts in _whole_series(batches):
+            if (done := fit_all(pool, cuts)) is not None:
                 yield done
 
     return run
 
 
+def _apply_sorted(function: Callable[[tuple, pd.DataFrame], pd.DataFrame], names: Sequence[str]):
+    """Function over a partition sorted by series and time: ``function`` of each series as it completes.
+
+    Results are sent on together; those whose columns differ in type stay apart, so that none is converted on its way.
+    """
+
+    def laid_out(result: pd.DataFrame) -> pd.DataFrame:
+        if not isinstance(result, pd.DataFrame):
+            raise TypeError(f"the function of a series must return a pandas.DataFrame, not {type(result).__name__}")
+        given = list(result.columns)
+        if given == list(names):
+            return result
+        by_name = any(isinstance(c, str) for c in given)
+        if len(given) != len(names) or (by_name and set(given) != set(names)):
+            raise ValueError(f"the function of a series must return the columns {list(names)}, not {given}")
+        return result[list(names)] if by_name else result.set_axis(list(names), axis=1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pool, cuts in _whole_series(batches):
+            keys = [pool[k] for k in schemas.SERIES_KEYS]
+            same, kinds = [], None
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                result = function(tuple(k[lo] for k in keys), pool.iloc[lo:hi].reset_index(drop=True))
+                if not len(result.columns) and not len(result):
+                    continue
+                result = laid_out(result)
+                if same and result.dtypes.tolist() != kinds:
+                    yield pd.concat(same, ignore_index=True)
+                    same = []
+                same.append(result)
+                kinds = result.dtypes.tolist()
+            if same:
+                yield pd.concat(same, ignore_index=True)
+
+    return run
+
+
 def bounded_points(
     captures: DataFrame, limit_days: int | None = max(schemas.HISTORY_DAYS), broadcast_limit: int | None = None
 ) -> DataFrame:
@@ -122,9 +166,12 @@ def apply_per_series(
     schema: StructType | list[str] | str,
     limit_days: int | None = max(schemas.HISTORY_DAYS),
 ) -> DataFrame:
-    """Any function of one series, given its key and its bounded observations as pandas."""
-    points = bounded_points(captures, limit_days)
-    return points.groupBy(*schemas.SERIES_KEYS).applyInPandas(function, schemas.resolve(schema))
+    """Any function of one series, given its key and its bounded observations in order of time as pandas.
+
+    Many series share an Arrow batch, as in :func:`fit_series`.
+    """
+    layout = schemas.resolve(schema)
+    return _in_series_order(bounded_points(captures, limit_days)).mapInPandas(_apply_sorted(function, layout.names), layout)
 
 
 def fit_series(
@@ -155,12 +202,16 @@ def fit_series(
         + [StructField("min_history_ds", time), StructField("max_history_ds", time)]
         + [StructField("history_days", IntegerType()), StructField("kind", StringType())]
     )
+    fit = _fit_sorted(tuple(ranges), steps, step_seconds, include_history, layout.names)
+    return _in_series_order(points, partitions).mapInPandas(fit, layout)
+
+
+def _in_series_order(points: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Whole series in partitions, sorted by series and time."""
     # Fitting costs far more than the bytes of a series suggest, so the number of tasks is set
     # here; adaptive execution would merge the small partitions into a few slow tasks.
-    spread = points.repartition(partitions or fit_tasks(captures.sparkSession), *schemas.SERIES_KEYS)
-    ordered = spread.sortWithinPartitions(*schemas.SERIES_KEYS, "ds")
-    fit = _fit_sorted(tuple(ranges), steps, step_seconds, include_history, layout.names)
-    return ordered.mapInPandas(fit, layout)
+    spread = points.repartition(partitions or fit_tasks(points.sparkSession), *schemas.SERIES_KEYS)
+    return spread.sortWithinPartitions(*schemas.SERIES_KEYS, "ds")
 
 
 def fit_tasks(spark: SparkSession) -> int:

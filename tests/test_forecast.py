@@ -8,7 +8,7 @@ from curbcount import schemas
 from curbcount.operators.additive import fit_predict
 from curbcount.plans import forecast
 
-from .conftest import at, rows
+from .conftest import at, plan, rows
 
 END = at("2017-06-20 12:00")
 STEP = timedelta(minutes=15)
@@ -217,3 +217,31 @@ def test_noise_variance_reaches_its_fixed_point(monkeypatch):
         slow = additive.fit_predict(days, *stats, at)
         monkeypatch.setattr(additive, "PLAIN_ROUNDS", 2)
         assert np.allclose(additive.fit_predict(days, *stats, at), slow, atol=2e-2)
+
+
+def test_own_function_gets_whole_series_in_order_of_time(make):
+    """Many of them share a batch of Arrow, and adaptive execution merges no tasks; results may differ in type."""
+    records = [r for s in range(40) for r in reversed(history([10 + s, None, 30 + s], seg=s))]
+
+    def last(key, points):
+        import pandas as pd
+
+        assert points["ds"].is_monotonic_increasing and list(points.index) == [0, 1, 2]
+        return pd.DataFrame({"last": [points["sum_y"].iloc[-1] if key[0] % 2 else None], "SegmentID": [key[0]]})
+
+    got = forecast.apply_per_series(make(records, DOUBLE_CAPTURE), last, "SegmentID INT, last DOUBLE")
+    assert sorted(tuple(r) for r in got.collect()) == [(s, 30.0 + s if s % 2 else None) for s in range(40)]
+    assert "FlatMapGroupsInPandas" not in plan(got) and "REPARTITION_BY_NUM" in plan(got)
+
+
+def test_own_function_may_return_nothing_but_no_other_columns(make):
+    frame = make(history([1]) + history([2], seg=2), DOUBLE_CAPTURE)
+
+    def second(key, points):
+        import pandas as pd
+
+        return pd.DataFrame({"SegmentID": [key[0]]}) if key[0] == 2 else pd.DataFrame()
+
+    assert rows(forecast.apply_per_series(frame, second, "SegmentID INT")) == [(2,)]
+    with pytest.raises(Exception, match="must return the columns"):
+        forecast.apply_per_series(frame, lambda key, points: points[["n"]], "SegmentID INT").collect()
