@@ -949,7 +949,8 @@ def bucketed_accuracy(spark, folder):
     root = new_path(spark, "bucketed")
     names = [f"{side}_{root[-32:]}" for side in ("captures", "predictions")]
     sides = st.captures(spark, folder), st.predictions(spark, folder)
-    captures, guesses = (tables.write_bucketed(side, name, f"{root}/{name}", 8) for side, name in zip(sides, names))
+    buckets = tables.bucket_count(*sides, least=8)
+    captures, guesses = (tables.write_bucketed(side, name, f"{root}/{name}", buckets) for side, name in zip(sides, names))
     result = accuracy.accuracy(captures, guesses)
     return result.withColumns({"MAE": _r("MAE"), "MAPE": _r("MAPE")})
 

@@ -11,10 +11,13 @@ from pyspark.sql.types import StructType
 
 from curbcount import schemas
 from curbcount.functions.text import file_label
+from curbcount.operators.lookup import table_bytes
 
 CORRUPT = "_corrupt_record"
 DAY = "event_date"
 BATCH = "batch"
+#: In-memory size of a bucket; a task that frees two of them of repetition and joins them takes about four times as much.
+BUCKET_BYTES = 64 << 20
 
 
 def read_csv(
@@ -93,12 +96,17 @@ def write_by_day(df: DataFrame, path: str, ts: str = "Timestamp", batch: str = "
     dated.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/{BATCH}={batch}")
 
 
+def bucket_count(*sides: DataFrame, least: int = 1) -> int:
+    """Number of buckets for copies of these tables that are to meet: of the largest, ``BUCKET_BYTES`` in a bucket."""
+    return max(least, -(-max(map(table_bytes, sides)) // BUCKET_BYTES))
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
     """A copy in buckets by the keys of a capture, sorted, as table ``name`` over files at ``path``; returns the table.
 
     Two copies with as many buckets meet by these keys, and are freed of repeated rows, without a shuffle, as often as they are
     read. Event time is one of the keys, so a hot series is spread over all buckets. Choose their number from the
-    size (bytes / 128 MB); every bucket is one file.
+    size (:func:`bucket_count`); every bucket is one file, and is written, freed of repetition and joined by one task.
     """
     keys = schemas.CAPTURE_KEYS
     dealt = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)

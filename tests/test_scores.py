@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from curbcount import schemas
+from curbcount import registry, schemas
 from curbcount.plans import accuracy, cycles, rollups
 from curbcount.plans.scores import Scores
 from curbcount.sources import snapshots, tables, topics
@@ -209,3 +209,21 @@ def test_bucketed_copies_meet_without_a_shuffle(spark, make, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
         for name in ("seen", "guessed"):
             spark.sql(f"DROP TABLE {name}_buckets")
+
+
+def test_buckets_grow_with_the_tables(spark, make, monkeypatch):
+    seen, guessed = captures(make, range(40)), predictions(make, range(60))
+    assert tables.bucket_count(seen, guessed) == 1 and tables.bucket_count(seen, guessed, least=8) == 8
+    assert tables.bucket_count(seen.limit(0), least=8) == 8
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 1000)
+    assert tables.bucket_count(seen, guessed) == tables.bucket_count(guessed) > tables.bucket_count(seen) >= 4
+
+
+def test_bucketed_query_takes_buckets_of_bounded_size(spark, monkeypatch):
+    folder, made = "/root/testdata/sf0.001", []
+    known = rows(registry.bucketed_accuracy(spark, folder))
+    write = tables.write_bucketed
+    monkeypatch.setattr(tables, "write_bucketed", lambda df, name, path, buckets: made.append(buckets) or write(df, name, path, buckets))
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 4000)
+    assert rows(registry.bucketed_accuracy(spark, folder)) == known
+    assert made[0] == made[1] > 8
