@@ -12,6 +12,8 @@ from curbcount.functions.event_time import interval_days, interval_minutes
 
 # Names of the axes as the data model defines them.
 AXES = ["range_days", "future_forecasting_minutes"]
+#: What a match has of a capture.
+ACTUAL = ["SegmentID", "Direction", "Timestamp", "Vol"]
 
 
 def forecast_axes(predictions: DataFrame) -> DataFrame:
@@ -38,8 +40,13 @@ def errors(captures: DataFrame, predictions: DataFrame) -> DataFrame:
     first = predictions.agg(F.min("Timestamp").alias("first")).scalar()
     last = predictions.agg(F.max("Timestamp").alias("last")).scalar()
     covered = captures.filter(F.col("Timestamp").between(first, last))
-    actual = covered.select("SegmentID", "Direction", "Timestamp", "Vol").distinct()
+    actual = covered.select(*ACTUAL).distinct()
     guessed = predictions.drop("prediction_ds").distinct()
+    return distinct_errors(actual, guessed)
+
+
+def distinct_errors(actual: DataFrame, guessed: DataFrame) -> DataFrame:
+    """:func:`errors` of rows that are known to be distinct, captures of the columns ``ACTUAL``, predictions without run time."""
     return actual.join(guessed, schemas.CAPTURE_KEYS).withColumns(
         {
             "AE": F.abs(F.col("Vol") - F.col("prediction_vol")),

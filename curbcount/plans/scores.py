@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbcount import schemas
-from curbcount.plans.accuracy import AXES, errors, forecast_axes
-from curbcount.session import materialise, scratch
+from curbcount.plans.accuracy import ACTUAL, AXES, distinct_errors, forecast_axes
 from curbcount.sources.generations import Generations
 from curbcount.sources.snapshots import publish
 
@@ -74,25 +73,29 @@ class Scores:
         here = (run, epoch)
         for store in (self.captures, self.predictions, self.sums):
             store.compact(before=here)
-        with scratch(captures.sparkSession):
-            actual = materialise(self._new_captures(captures, here), "new-captures")
-            guessed = materialise(self._new_predictions(predictions, here), "new-predictions")
-            before = _within(self.predictions.read(but=here), actual)
-            now = errors(actual, before.unionByName(guessed))
-            late = errors(self.captures.read(but=here), guessed)
-            self.captures.add(actual, *here)
-            self.predictions.add(guessed, *here)
-            # last: it marks the batch as taken in
-            self.sums.add(merge_sums(error_sums(now).unionByName(error_sums(late))), *here)
+        self.captures.add(self._new_captures(captures, here), *here)
+        self.predictions.add(self._new_predictions(predictions, here), *here)
+        actual, guessed = self._actual(self.captures.batch(*here)), self.predictions.batch(*here)
+        # what is stored is distinct, batches together as well
+        before = _within(self.predictions.read(but=here), actual)
+        now = distinct_errors(actual, before.unionByName(guessed))
+        late = distinct_errors(self._actual(_within(self.captures.read(but=here), guessed)), guessed)
+        # last: it marks the batch as taken in
+        self.sums.add(merge_sums(error_sums(now).unionByName(error_sums(late))), *here)
+
+    def _actual(self, captures: DataFrame) -> DataFrame:
+        """Distinct rows of the columns of a match; a layout with further columns may repeat them."""
+        own = captures.select(*ACTUAL)
+        return own if len(self.captures.schema) == len(ACTUAL) else own.distinct()
 
     def _new_captures(self, captures: DataFrame, here: tuple[str, int]) -> DataFrame:
         names = self.captures.schema.names
-        given = captures.dropna(subset=schemas.CAPTURE_KEYS).select(*[F.col(f.name).cast(f.dataType) for f in self.captures.schema.fields]).distinct()
+        given = captures.dropna(subset=schemas.CAPTURE_KEYS).select(*[F.col(f.name).cast(f.dataType) for f in self.captures.schema.fields])
         return _unseen(given, _within(self.captures.read(but=here), given), names)
 
     def _new_predictions(self, predictions: DataFrame, here: tuple[str, int]) -> DataFrame:
         wanted = forecast_axes(predictions).filter(F.col("range_days").isin(*self.range_days)).drop(*AXES)
-        given = wanted.dropna(subset=schemas.CAPTURE_KEYS).select(*[F.col(f.name).cast(f.dataType) for f in self.predictions.schema.fields]).distinct()
+        given = wanted.dropna(subset=schemas.CAPTURE_KEYS).select(*[F.col(f.name).cast(f.dataType) for f in self.predictions.schema.fields])
         return _unseen(given, _within(self.predictions.read(but=here), given), self.predictions.schema.names)
 
     def table(self) -> DataFrame:
@@ -107,12 +110,9 @@ def _within(rows: DataFrame, others: DataFrame) -> DataFrame:
 
 
 def _unseen(rows: DataFrame, seen: DataFrame, names: list[str]) -> DataFrame:
-    left, right = rows.alias("l"), seen.alias("r")
-    same = F.lit(True)
-    for name in names:
-        pair = F.col(f"l.{name}"), F.col(f"r.{name}")
-        same = same & (pair[0] == pair[1] if name in schemas.CAPTURE_KEYS else pair[0].eqNullSafe(pair[1]))
-    return left.join(right, same, "left_anti")
+    """Distinct rows that are not among those seen, nulls being equal. One grouping does both, so each side is shuffled once."""
+    both = rows.select(*names, F.lit(False).alias("__seen")).union(seen.select(*names, F.lit(True).alias("__seen")))
+    return both.groupBy(*names).agg(F.max("__seen").alias("__seen")).filter(~F.col("__seen")).select(*names)
 
 
 def accuracy_writer(root: str, **layouts):

@@ -99,6 +99,10 @@ class Generations:
             run, epoch = f"{ONCE}{uuid.uuid4().hex}", 0
         rows.write.mode("overwrite").parquet(self.folder(run, epoch))
 
+    def batch(self, run: str, epoch: int) -> DataFrame:
+        """The rows of one batch that was just added."""
+        return self.spark.read.schema(self.schema).parquet(self.folder(run, epoch))
+
     def has(self, run: str, epoch: int) -> bool:
         """The batch was written to its end, or has been merged."""
         merged = self.manifest().upto.get(run or "none", -1) >= epoch

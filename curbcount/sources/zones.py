@@ -27,9 +27,8 @@ def store(spark: SparkSession, location: str) -> Generations:
     return Generations(spark, f"{location.rstrip('/')}/{FOLDER}", LAYOUT, _merged)
 
 
-def _name(base: str) -> Column:
+def _name(path: Column, base: str) -> Column:
     """A file's path below the log, so that a log may be moved as a whole."""
-    path = F.col("_metadata.file_path")
     decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
     return F.substring(F.regexp_replace(decoded, "^file:/+", "/"), len(base) + 2, 1 << 20)
 
@@ -53,11 +52,12 @@ def index(spark: SparkSession, location: str, layout: StructType) -> int:
     new = {name: path for name, path in _files(spark, location, base).items() if name not in noted}
     if not new:
         return 0
-    record = F.from_json("value", layout)
-    read = spark.read.text(list(new.values())).select(_name(base).alias("file"), record.alias("r"))
-    spans = read.groupBy("file").agg(*[f(F.col("r")[t]).alias(f"{end}_{t}") for t in times for end, f in (("first", F.min), ("last", F.max))])
+    # of a record only the times are parsed, and a file is named once, not for every record
+    record = F.from_json("value", StructType([layout[t] for t in times]))
+    read = spark.read.text(list(new.values())).select(F.col("_metadata.file_path").alias("path"), record.alias("r"))
+    spans = read.groupBy("path").agg(*[f(F.col("r")[t]).alias(f"{end}_{t}") for t in times for end, f in (("first", F.min), ("last", F.max))])
     rows = F.explode(F.array(*[F.struct(F.lit(t).alias("time"), F.col(f"first_{t}").alias("first"), F.col(f"last_{t}").alias("last")) for t in times]))
-    zones.add(spans.select("file", rows.alias("z")).select("file", "z.*").coalesce(1))
+    zones.add(spans.select(_name(F.col("path"), base).alias("file"), rows.alias("z")).select("file", "z.*").coalesce(1))
     if len(zones.paths()) >= zones.fan:
         zones.compact()
     return len(new)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from curbcount import registry, schemas
 from curbcount.plans import accuracy, cycles, rollups
-from curbcount.plans.scores import Scores
+from curbcount.plans.scores import Scores, _unseen
+from curbcount.session import scratch
 from curbcount.sources import snapshots, tables, topics
 from curbcount.sources.topics import Topic
 from curbcount.streaming import queries as sq
@@ -227,3 +228,21 @@ def test_bucketed_query_takes_buckets_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(tables, "BUCKET_BYTES", 4000)
     assert rows(registry.bucketed_accuracy(spark, folder)) == known
     assert made[0] == made[1] > 8
+
+
+def test_new_rows_are_found_by_one_grouping(spark, make, tmp_path):
+    given = captures(make, range(4)).unionByName(captures(make, range(2))).unionByName(make([(1, "NB", None, START)] * 2 + [(2, "NB", None, START)]))
+    seen = captures(make, [0, 3]).unionByName(make([(2, "NB", None, START)]))
+    new = _unseen(given, seen, given.columns)
+    assert rows(new) == rows(given.distinct().exceptAll(seen)) and new.count() == 5
+    assert "Join" not in plan(new)
+
+
+def test_a_batch_is_written_once(spark, make, tmp_path):
+    """Its new rows go to the store alone, without an intermediate copy, and meet what is distinct already."""
+    scores = Scores(spark, f"{tmp_path}/state")
+    with scratch(spark) as root:
+        for epoch in range(3):
+            scores.add(captures(make, range(epoch, 20)), predictions(make, range(5, 15 + epoch)), "a", epoch)
+        assert not Path(root).exists()
+    assert same(scores, captures(make, range(20)), predictions(make, range(5, 17)))
